@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trajectra.llm import bpe_ops, pii, token_files, urls
+from trajectra.llm import bpe_ops, decontam, pii, token_files, urls
 from trajectra.llm.shared import cut, table
 
 BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -25,6 +25,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(spark, table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.url_verdicts(table(spark, sf_dir, "pages"), cut=cut).drop("score")
 
@@ -33,7 +37,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_bpe_round_trip, op5_section_token_counts, op6_token_files, op9_url_filter, op10_personal_data)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_bpe_round_trip, op5_section_token_counts, op6_token_files, op8_decontamination, op9_url_filter, op10_personal_data)}
 
 #: Queries that DuckDB can express over whole tables.
 ORACLES: dict[str, str] = {}
