@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trajectra.llm import bpe_ops, decontam, pii, token_files, urls
+from trajectra.llm import bpe_ops, decontam, minhash, pii, token_files, urls
 from trajectra.llm.shared import cut, table
 
 BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_ops.bpe_round_trip(table(spark, sf_dir, "documents"), BYTE_BPE)
 
@@ -37,7 +41,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_bpe_round_trip, op5_section_token_counts, op6_token_files, op8_decontamination, op9_url_filter, op10_personal_data)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_groups, op4_bpe_round_trip, op5_section_token_counts, op6_token_files, op8_decontamination, op9_url_filter, op10_personal_data)}
 
 #: Queries that DuckDB can express over whole tables.
 ORACLES: dict[str, str] = {}
