@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trajectra.llm import bpe_ops, decontam, minhash, pii, quality, token_files, urls
+from trajectra.llm import bpe_ops, decontam, langid, minhash, pii, quality, token_files, toxicity, urls
 from trajectra.llm.shared import cut, table
 
 BYTE_BPE, WORD_BPE = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -17,6 +17,10 @@ def op1_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), cut=cut)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,10 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_file_digest(spark, table(spark, sf_dir, "documents"), WORD_BPE)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -45,7 +53,7 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.span_digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_groups, op3_quality_rules, op4_bpe_round_trip, op5_section_token_counts, op6_token_files, op8_decontamination, op9_url_filter, op10_personal_data)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_minhash_groups, op2_toxicity, op3_quality_rules, op4_bpe_round_trip, op5_section_token_counts, op6_token_files, op7_language_id, op8_decontamination, op9_url_filter, op10_personal_data)}
 
 #: Queries that DuckDB can express over whole tables.
 ORACLES: dict[str, str] = {}
