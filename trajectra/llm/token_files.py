@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from trajectra.llm import planes, textscan
 from trajectra.llm.shared import cut, shared_dir
 
-CACHE_WORDS = 250_000
+CACHE_WORDS = 500_000
 #: Texts of these characters only (Latin, no combining marks, no unusual white space): a piece is tokenized alike
 #: alone and in the text, as none of its characters composes with a neighbour or has a lower case that depends on it.
 _PLAIN = re.compile(rf"[\t\n\r\x20-\x7e\xa1-\xac\xae-{chr(0x12F)}{chr(0x131)}-{chr(0x148)}{chr(0x14A)}-{chr(0x17F)}]*")
@@ -63,7 +63,7 @@ class WordCoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text; a call's texts share one batch of new pieces."""
         split = [_PIECES.findall(t.lower()) if _PLAIN.fullmatch(t) and not any(s in t for s in self.special) else None for t in texts]
-        seen = {p for ps in split if ps for p in ps}
+        seen = set().union(*filter(None, split))
         new = seen.difference(self.cache)
         if len(self.cache) + len(new) > CACHE_WORDS:
             self.cache.clear()
@@ -145,7 +145,9 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
                             rows = []
                     yield _rows(rows)
 
-    return manifest.select("path", "start").repartition("path").mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    # a task for each file: a number given explicitly isn't coalesced, however short the manifest's rows are
+    files = max(1, min(manifest.count(), 100_000))
+    return manifest.select("path", "start").repartition(files, "path").mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
