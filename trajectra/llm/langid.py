@@ -6,7 +6,7 @@ before and after the word), or if none is known of its 4-grams, and so on down t
 single characters.  A text's language is the one with the largest sum.
 
 Words are runs of letters, lower-cased.  The model learns from at most ``TRAIN_ROWS``
-whole documents of each language, those with the smallest hashes of their text,
+different whole texts of each language, those with the smallest hashes,
 and keeps at most ``WORDS`` words and ``GRAMS`` grams of each length for a language; so
 what is sent to executors is bounded by the number of languages.
 """
@@ -25,6 +25,8 @@ from trajectra.llm import textscan as ts
 
 UNKNOWN = "und"
 TRAIN_ROWS, WORDS, GRAMS, LONGEST = 1_500, 50_000, 10_000, 5
+#: Languages at most, those with most training texts; this bounds the model and the table of limits that is broadcast.
+LANGUAGES = 256
 _U = np.uint64
 _BLANK = 0x20
 _tables: dict[str, np.ndarray] = {}
@@ -144,8 +146,12 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """A model from rows with text and language; null texts or languages are left out."""
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
-    order = Window.partitionBy("lang").orderBy("h", "text")
-    chosen = rows.withColumn("h", F.xxhash64("text")).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TRAIN_ROWS)
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    # the hashes alone are ranked; a text that occurs many times counts once
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    limits = rows.groupBy("lang", "h").agg(F.lit(1).alias("one")).withColumn("rank", rank).filter(F.col("rank") <= TRAIN_ROWS).groupBy("lang").agg(F.max("h").alias("limit"), F.count("*").alias("n"))
+    limits = limits.orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).select("lang", "limit")
+    chosen = rows.join(F.broadcast(limits), "lang").filter("h <= limit").groupBy("lang", "h").agg(F.min("text").alias("text"))
     counts = chosen.select("text", "lang").mapInArrow(_counts, "lang string, level int, hash bigint, n bigint").groupBy("lang", "level", "hash").agg(F.sum("n").alias("n"))
     best = Window.partitionBy("lang", "level").orderBy(F.col("n").desc(), "hash")
     totals = {(t["lang"], t["level"]): t["n"] for t in counts.groupBy("lang", "level").agg(F.sum("n").alias("n")).collect()}
