@@ -9,20 +9,25 @@
 3. Each band of ROWS bins is a bucket key.  Texts whose similarity is at the threshold
    share a bucket but for a probability of (1 - 0.8**ROWS)**BANDS, 3e-6 here.
 4. Candidate edges are stars: in a bucket, every member is paired with its hub only, the
-   member with most bucket mates.  All edges are confirmed on the full shingle sets.
+   member with most bucket mates.  Pairs that can't be similar enough go, by the sizes of
+   their sets (exact) and by one bit of each sketch entry (6.5 standard deviations below
+   the threshold); the others are confirmed on the full shingle sets.
 5. What a star can miss is a link between two members that aren't linked to the hub.
-   So components are formed, buckets whose members are all in one component are done, and
-   in the others new stars begin, twice as many hubs each round as before, until each bucket
-   is done or all its members have been hubs.  No bucket is capped, and a bucket never
-   becomes all its pairs unless these are all in different components.
-
-Only bounded rows move: sketches as 8-byte band keys, edges, and the shingle sets of
-documents that are in an edge, recomputed from the text.  Hot keys are pre-aggregated
-(minimum, count) before a shuffle; joins on them can be split by AQE.
+   So components are formed, and buckets whose members are all in one component are done.
+   In the others the hub and the members linked to it leave: by the triangle inequality of the
+   Jaccard distance, a member that stays can only be linked to one of those if their distances
+   from the hub differ by no more than a link's greatest distance; only then are they compared.  Among those that
+   stay new stars begin, of more and more hubs, until each bucket is done.  No bucket
+   is capped, and it becomes all its pairs only as far as these are unlike each other.
+
+Only bounded rows move: sketches as 8-byte band keys and 256 bits, edges, and the shingle
+sets of documents that share a bucket, recomputed from the text.  Hot keys are
+pre-aggregated (minimum, count) before a shuffle; joins on them can be split by AQE.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,25 +94,30 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-_SIGNATURE = "struct<n_shingles:bigint,set_a:bigint,set_b:bigint,bands:array<bigint>>"
+MARKS = ("m0", "m1", "m2", "m3")
+_SIGNATURE = "struct<n_shingles:bigint,set_a:bigint,set_b:bigint,bands:array<bigint>,marks:array<bigint>>"
 
 
 def _signatures(words: int):
     @F.arrow_udf(_SIGNATURE)
     def signatures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            n, a, b, keys, ends = [], [], [], [], [0]
+            n, a, b, keys, bits = [], [], [], [], []
             for s in shingle_sets(texts, words):
                 n.append(len(s))
                 # two sums over the set, each of differently mixed members: its 128-bit name
                 a.append(int(np.sum(ts.mix(s ^ _U(0xA5A5A5A5)), dtype=np.uint64).view(np.int64)))
                 b.append(int(np.sum(ts.mix(s ^ _U(0x5C5C5C5C5C)), dtype=np.uint64).view(np.int64)))
                 if len(s):
-                    keys.append(band_keys(sketch(s)))
-                ends.append(BANDS * len(keys))
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            bands = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
-            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), bands], ["n_shingles", "set_a", "set_b", "bands"])
+                    entries = sketch(s)
+                    keys.append(band_keys(entries))
+                    bits.append(np.packbits((ts.mix(entries) & _U(1)).astype(bool)).view(np.int64))
+            has = np.array(n, np.int64) > 0
+            lists = []
+            for parts, width in ((keys, BANDS), (bits, len(MARKS))):
+                ends = np.append(0, np.cumsum(has * width)).astype(np.int32)
+                lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64))))
+            yield pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), *lists], ["n_shingles", "set_a", "set_b", "bands", "marks"])
 
     return signatures
 
@@ -124,15 +134,15 @@ def _sets(words: int):
 def _linked(percent: int):
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
+            keep, share = [], []
             for left, right in zip(batch.column(2), batch.column(3)):
                 a, b = np.frombuffer(left.as_buffer(), np.uint64), np.frombuffer(right.as_buffer(), np.uint64)
-                if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
-                    keep.append(False)
-                    continue
                 common = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * common >= percent * (len(a) + len(b) - common))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+                either = len(a) + len(b) - common
+                keep.append(100 * common >= percent * either)
+                share.append(common / either)
+            found = batch.select([0, 1]).append_column("share", pa.array(share, pa.float64()))
+            yield found.filter(pa.array(keep, pa.bool_()))
 
     return linked
 
@@ -154,6 +164,27 @@ def components(edges: DataFrame) -> DataFrame:
         before = tuple(now)
 
 
+def split_by(rows: DataFrame, column: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``column`` may be in ids (one column), and the others, which surely aren't; null isn't.
+
+    What is broadcast is a bit map of at most 2**28 bits, in at most 2**22 rows of 16 bytes, whatever the
+    number of ids.  It saves the others a shuffle of their wide columns.
+    """
+    (key,) = ids.columns
+    words = 1 << max(10, min(22, (16 * ids.count()).bit_length() - 6))
+    place = lambda c: (F.pmod(F.xxhash64(c), F.lit(words)), F.shiftrightunsigned(F.xxhash64(c), 40).bitwiseAND(F.lit(63)).cast("int"))
+    at, bit = place(F.col(key))
+    bits = ids.select(at.alias("__at"), F.expr("1L").alias("one"), bit.alias("bit")).groupBy("__at").agg(F.bit_or(F.call_function("shiftleft", "one", "bit")).alias("__bits"))
+    at, bit = place(F.col(column))
+    tested = rows.withColumns({"__at": at, "__bit": bit}).join(F.broadcast(bits), "__at", "left").withColumn("__hit", F.coalesce(F.expr(f"shiftright(__bits, __bit) & 1 = 1 AND {column} IS NOT NULL"), F.lit(False)))
+    return tuple(tested.filter(f"{'' if hit else 'NOT '}__hit").select(*rows.columns) for hit in (True, False))
+
+
+def among(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
+    """Rows whose ``column`` is in ids (one column, distinct)."""
+    return split_by(rows, column, ids)[0].join(ids.withColumnRenamed(ids.columns[0], column), column, "left_semi")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row.
 
@@ -167,41 +198,73 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     signed = cut(rows.select("doc_id", _signatures(words)(F.col("text")).alias("s")).select("doc_id", "s.*"))
     live = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     name = ["n_shingles", "set_a", "set_b"]
-    reps = live.groupBy(*name).agg(F.min(F.struct("doc_id", "bands")).alias("r")).select(*name, F.col("r.doc_id").alias("rep"), "r.bands")
+    reps = live.groupBy(*name).agg(F.min(F.struct("doc_id", "bands", "marks")).alias("r")).select(*name, F.col("r.doc_id").alias("rep"), "r.bands", "r.marks")
     keyed = reps.select(F.col("rep").alias("doc"), F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("size"), F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high")
     members = keyed.join(shared.select("key", "size"), "key")
     weight = members.groupBy("doc").agg(F.sum("size").alias("weight"))
     buckets = cut(members.select("key", "doc").join(weight, "doc").distinct())
     roots = cut(buckets.select(F.col("doc").alias("node"), F.col("doc").alias("root")).distinct())
-    texts = rows.join(buckets.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = texts.select(F.col("doc_id").alias("doc"), _sets(words)(F.col("text")).alias("set")).withColumn("name", F.xxhash64("set"))
+    ids = roots.select("node")
+    marks = cut(reps.select(F.col("rep").alias("doc"), F.col("n_shingles").alias("n"), *(F.get("marks", F.lit(k)).alias(m) for k, m in enumerate(MARKS))).join(ids.withColumnRenamed("node", "doc"), "doc", "left_semi"))
+    sets = among(rows, "doc_id", ids).select(F.col("doc_id").alias("doc"), _sets(words)(F.col("text")).alias("set")).withColumn("name", F.xxhash64("set"))
     sets = cut(sets.dropDuplicates(["doc", "name"]).select("doc", "set"))
-    left, right = sets.select(F.col("doc").alias("hub"), F.col("set").alias("hub_set")), sets
-    stars, links = 1, None
-    while True:
+    as_hub = lambda df: df.select(F.col("doc").alias("hub"), *(F.col(c).alias(f"hub_{c}") for c in df.columns if c != "doc"))
+
+    def similar(pairs: DataFrame, least: int, first: bool = False) -> DataFrame:
+        """The pairs (hub, doc) whose similarity, ``share``, is ``least`` percent or more."""
+        agree = (1 + least / 100) / 2
+        unlike = int(BINS * (1 - agree) + 6.5 * (BINS * agree * (1 - agree)) ** 0.5)
+        fits = (100 * F.least("n", "hub_n") >= least * F.greatest("n", "hub_n")) & (sum(F.bit_count(F.col(m).bitwiseXOR(F.col(f"hub_{m}"))) for m in MARKS) <= unlike)
+        likely = cut(pairs.distinct().join(as_hub(marks), "hub").join(marks, "doc").filter(fits).select("hub", "doc").distinct())
+        if likely.isEmpty():
+            return likely.withColumn("share", F.lit(1.0))
+        # in later turns few sets are needed, and only these are shuffled
+        needed = sets if first else split_by(sets, "doc", likely.select("hub").union(likely.select("doc")).distinct())[0]
+        whole = likely.join(as_hub(needed), "hub").join(needed, "doc").select("hub", "doc", "hub_set", "set")
+        return cut(whole.mapInArrow(_linked(least), "hub bigint, doc bigint, share double").groupBy("hub", "doc").agg(F.max("share").alias("share")))
+
+    def united(roots: DataFrame, links: DataFrame | None, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+        star = new.select(F.col("hub").alias("u"), F.col("doc").alias("v"))
+        found = components(star if links is None else links.unionByName(star))
+        roots = cut(roots.select("node").join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+        return roots, found.select(F.col("node").alias("u"), F.col("root").alias("v"))
+
+    links = None
+    for turn in itertools.count():
         placed = buckets.join(roots.withColumnRenamed("node", "doc"), "doc")
         mixed = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("key")
-        open_ = placed.join(mixed, "key")
-        order = Window.partitionBy("key").orderBy(F.col("weight").desc(), F.col("doc"))
-        hubs = open_.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= stars)
-        hub = hubs.select("key", F.col("doc").alias("hub"), F.col("root").alias("hub_root"))
-        pairs = open_.join(hub, "key").filter("root <> hub_root").select(F.least("doc", "hub").alias("doc"), F.greatest("doc", "hub").alias("hub")).distinct()
-        pairs = pairs.join(left, "hub").join(right, "doc").select("hub", "doc", "hub_set", "set")
-        new = cut(pairs.mapInArrow(_linked(percent), "hub bigint, doc bigint"))
-        if not new.isEmpty():
-            star = new.select(F.col("hub").alias("u"), F.col("doc").alias("v"))
-            links = star if links is None else links.unionByName(star)
-            found = components(links)
-            links = found.select(F.col("node").alias("u"), F.col("root").alias("v"))
-            roots = cut(roots.select("node").join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
-        # these hubs have met every member of their buckets
-        buckets = cut(open_.select("key", "doc", "weight").join(hubs.select("key", "doc"), ["key", "doc"], "left_anti"))
-        if buckets.isEmpty():
+        open_ = cut(placed.join(mixed, "key").select("key", "doc", "weight"))
+        if open_.isEmpty():
             break
-        stars *= 2
+        order = Window.partitionBy("key").orderBy(F.col("weight").desc(), F.col("doc"))
+        hubs = cut(open_.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= 16 ** max(0, turn - 1)).select("key", F.col("doc").alias("hub")))
+        stars = open_.join(hubs, "key").filter("doc <> hub").select("key", "hub", "doc")
+        linked = similar(stars.select("hub", "doc"), percent, turn == 0)
+        gone = hubs.select("key", F.col("hub").alias("doc"))
+        if not linked.isEmpty():
+            if turn == 0:  # nearly all links are found here; later ones are united at the end of their turn
+                roots, links = united(roots, links, linked)
+            near_hub = cut(stars.join(linked, ["hub", "doc"]).select("key", "hub", "doc", F.col("share").alias("near_share")))
+            gone = gone.unionByName(near_hub.select("key", "doc")).distinct()
+            root_of = lambda column: roots.select(F.col("node").alias(column), F.col("root").alias(f"{column}_root"))
+            apart = stars.join(near_hub.select("key", "hub").distinct(), ["key", "hub"], "left_semi")
+            apart = cut(apart.join(root_of("doc"), "doc").join(root_of("hub"), "hub").filter("doc_root <> hub_root").select("key", "hub", "doc"))
+            ring = similar(apart.select("hub", "doc"), 2 * percent - 100)
+            if not ring.isEmpty():
+                outer = apart.join(ring, ["hub", "doc"]).select("key", "hub", F.col("doc").alias("other"), "share")
+                within = F.col("near_share") - F.col("share") <= 1 - percent / 100 + 1e-9
+                across = outer.join(near_hub, ["key", "hub"]).filter(within).select(F.greatest("other", "doc").alias("hub"), F.least("other", "doc").alias("doc")).distinct()
+                across = across.join(root_of("doc"), "doc").join(root_of("hub"), "hub").filter("doc_root <> hub_root").select("hub", "doc")
+                more = similar(across, percent)
+                found = more if turn == 0 else linked.unionByName(more)
+            else:
+                found = None if turn == 0 else linked
+            if found is not None and (turn > 0 or not found.isEmpty()):
+                roots, links = united(roots, links, found)
+        buckets = cut(open_.join(gone, ["key", "doc"], "left_anti"))
     named = reps.select(*name, "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(*name, F.coalesce("root", "rep").alias("component"))
-    joined = signed.join(named, name, "left")
+    joined = signed.select("doc_id", *name).join(named, name, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     return joined.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
