@@ -44,11 +44,11 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose personal data is replaced by its kind; n_chars follows the text."""
-    out = docs.withColumn("__stage", pii.find_spans(F.col("text")))
-    changes = {"text": pii.redact(F.col("text"), F.col("__stage"))}
+    out = docs.withColumn("__stage", pii.find_spans(F.col("text"))).withColumn("__stage_text", pii.redact(F.col("text"), F.col("__stage")))
+    changes = {"text": F.col("__stage_text")}
     if "n_chars" in docs.columns:
-        changes["n_chars"] = F.when(F.size("__stage") > 0, F.length(changes["text"]).cast("bigint")).otherwise(F.col("n_chars"))
-    return out.withColumns(changes).drop("__stage")
+        changes["n_chars"] = F.when(F.size("__stage") > 0, F.length("__stage_text").cast("bigint")).otherwise(F.col("n_chars"))
+    return out.withColumns(changes).drop("__stage", "__stage_text")
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ a logistic curve makes it a score.
 A term is a whole word, or a stem with any ending, written ``stem*``.  The lexicon and
 the curve are learned from at most ``TRAIN_ROWS`` labelled rows (those of the smallest
 hashes).  A term enters with its log odds if it is frequent and significant enough;
-copies of one toxic text count once, by a one-value MinHash of the words.
+copies of one toxic text count once, by a one-value MinHash of its five-word shingles.
 """
 
 from __future__ import annotations
@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from trajectra.llm.langid import held_out
 
-TRAIN_ROWS, MAX_TERMS, MIN_TEXTS, MIN_LOG_ODDS, MIN_Z = 20_000, 500, 6, 3.0, 4.0
+TRAIN_ROWS, MAX_TERMS, MIN_TEXTS, MIN_LOG_ODDS, MIN_Z = 20_000, 500, 6, 3.0, 3.0
+KEY_WORDS = 5
 #: Lengths of stems.
 STEM = range(4, 11)
 #: Words at which the length norm has grown to sqrt(2).
@@ -111,10 +112,10 @@ class Lexicon:
         return float(1 / (1 + np.exp(-np.clip(self.bias + self.slope * strength, -50, 50))))
 
 
-def _terms(text: str) -> tuple[set[str], set[str]]:
-    """A text's words, and these with all their stems."""
-    words = {w for w in _WORD.findall(fold(text)) if 2 < len(w) < 40}
-    return words, words | {w[:n] + "*" for w in words for n in STEM if n <= len(w)}
+def _terms(text: str) -> tuple[list[str], set[str]]:
+    """A text's words in order, and the different ones with all their stems."""
+    words = [w for w in _WORD.findall(fold(text)) if 2 < len(w) < 40]
+    return words, {*words} | {w[:n] + "*" for w in {*words} for n in STEM if n <= len(w)}
 
 
 def _toxic_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +126,7 @@ def _toxic_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, every = _terms(text.as_py() or "")
             if words:
                 terms += every
-                keys += [min(xxhash.xxh64_intdigest(w) for w in words) >> 1] * len(every)
+                keys += [min(xxhash.xxh64_intdigest(" ".join(words[i : i + KEY_WORDS])) for i in range(max(1, len(words) - KEY_WORDS + 1))) >> 1] * len(every)
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(keys, pa.int64())], ["term", "key"])
 
 
