@@ -28,6 +28,11 @@ LATE_OBS, LATE_TURNS, LATE_TEST = 0.7, 0.8, 0.15
 OH = ("openhands_sdk", "openhands")
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with the value computed once, however often, and in whatever loop, the body reads it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _mean(values: Column) -> Column:
     return F.when(F.size(values) > 0, F.aggregate(values, F.lit(0.0), lambda s, x: s + x) / F.size(values))
 
@@ -47,11 +52,13 @@ def acts() -> Column:
 
 def oec() -> Column:
     """Least smoothed entropy of an observation, relative to that of the first five; null for fewer, or flat ones."""
-    values = _field("obs", "entropy")
-    base = _mean(F.slice(values, 1, BASELINE))
-    near = F.transform(values, lambda x, i: _mean(F.slice(values, F.greatest(i, F.lit(1)), F.when(i == 0, 2).otherwise(3))))
-    least = F.array_min(near) / base
-    return F.when((F.size("obs") >= BASELINE) & (base > 0), F.greatest(F.lit(0.0), F.least(least, F.lit(1.0))))
+
+    def relative(values: Column) -> Column:
+        base = _mean(F.slice(values, 1, BASELINE))
+        near = F.transform(values, lambda x, i: _mean(F.slice(values, F.greatest(i, F.lit(1)), F.when(i == 0, 2).otherwise(3))))
+        return F.when(base > 0, F.greatest(F.lit(0.0), F.least(F.array_min(near) / base, F.lit(1.0))))
+
+    return F.when(F.size("obs") >= BASELINE, _let(_field("obs", "entropy"), relative))
 
 
 def iac() -> Column:
@@ -73,7 +80,6 @@ def has_write() -> Column:
 
 def loop_fraction() -> Column:
     """Share of actions with a target that lie in runs of five or more equal ones; an action without a target breaks a run."""
-    signatures = F.transform(acts(), lambda a: F.coalesce(a["signature"], F.lit("")))
     start = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("looped"))
 
     def step(s: Column, x: Column) -> Column:
@@ -81,9 +87,12 @@ def loop_fraction() -> Column:
         more = F.when(run == LOOP_RUN, LOOP_RUN).when(run > LOOP_RUN, 1).otherwise(0)
         return F.struct(x.alias("last"), run.alias("run"), (s["looped"] + more).alias("looped"))
 
-    looped = F.aggregate(signatures, start, step, lambda s: s["looped"])
-    targets = _count(signatures, lambda x: x != "")
-    return F.when((F.size(signatures) >= LOOP_RUN) & (targets > 0), looped / targets).otherwise(0.0)
+    def fraction(signatures: Column) -> Column:
+        looped = F.aggregate(signatures, start, step, lambda s: s["looped"])
+        targets = _count(signatures, lambda x: x != "")
+        return F.when((F.size(signatures) >= LOOP_RUN) & (targets > 0), looped / targets).otherwise(0.0)
+
+    return _let(F.transform(acts(), lambda a: F.coalesce(a["signature"], F.lit(""))), fraction)
 
 
 def error_repeat() -> Column:
@@ -106,22 +115,35 @@ def ped() -> Column:
 
 def psn() -> Column:
     """How the number of files in the last five turns falls over the late half, from Kendall's tau; null for short records."""
-    files = _field("turns", "files")
-    scope = F.transform(files, lambda x, i: F.size(F.array_distinct(F.flatten(F.slice(files, F.greatest(i - SCOPE + 2, F.lit(1)), F.least(i + 1, F.lit(SCOPE)))))))
-    late = F.slice(scope, F.floor(F.size(scope) / 2).cast("int") + 1, F.size(scope))
-    signs = F.flatten(F.transform(late, lambda x, i: F.transform(F.slice(late, i + 2, F.size(late)), lambda y: F.signum((y - x).cast("double")))))
-    total = _count(signs, lambda s: s != 0)
-    tau = F.aggregate(signs, F.lit(0.0), lambda a, s: a + s) / total
-    return F.when((F.size(files) >= 2 * SCOPE) & (F.size(late) >= 3), F.when(total == 0, 0.5).otherwise((1 - tau) / 2))
+
+    def scopes(files: Column) -> Column:
+        return F.transform(files, lambda x, i: F.size(F.array_distinct(F.flatten(F.slice(files, F.greatest(i - SCOPE + 2, F.lit(1)), F.least(i + 1, F.lit(SCOPE)))))))
+
+    def tau(signs: Column) -> Column:
+        total = _count(signs, lambda s: s != 0)
+        return F.when(total == 0, 0.5).otherwise((1 - F.aggregate(signs, F.lit(0.0), lambda a, s: a + s) / total) / 2)
+
+    def falling(late: Column) -> Column:
+        signs = F.flatten(F.transform(late, lambda x, i: F.transform(F.slice(late, i + 2, F.size(late)), lambda y: F.signum((y - x).cast("double")))))
+        return F.when(F.size(late) >= 3, _let(signs, tau))
+
+    late = _let(_let(_field("turns", "files"), scopes), lambda scope: F.slice(scope, F.floor(F.size(scope) / 2).cast("int") + 1, F.size(scope)))
+    return F.when(F.size("turns") >= 2 * SCOPE, _let(late, falling))
 
 
 def tte() -> Column:
     """Entropy of the transitions between kinds of actions over its maximum; null for fewer than three actions."""
-    kinds = F.transform(acts(), lambda a: a["kind"])
-    pairs = F.transform(F.slice(kinds, 1, F.size(kinds) - 1), lambda k, i: F.concat_ws(">", k, F.get(kinds, i + 1)))
-    n = F.size(pairs).cast("double")
-    entropy = F.log2(n) - F.aggregate(F.array_distinct(pairs), F.lit(0.0), lambda s, p: s + _count(pairs, lambda q: q == p) * F.log2(_count(pairs, lambda q: q == p).cast("double"))) / n
-    return F.when(F.size(kinds) >= 3, F.least(F.lit(1.0), entropy / math.log2(49)))
+
+    def pairs_of(kinds: Column) -> Column:
+        return F.transform(F.slice(kinds, 1, F.greatest(F.size(kinds) - 1, F.lit(0))), lambda k, i: F.concat_ws(">", k, F.get(kinds, i + 1)))
+
+    def share(pairs: Column) -> Column:
+        n = F.size(pairs).cast("double")
+        part = lambda p: _let(_count(pairs, lambda q: q == p).cast("double"), lambda k: k * F.log2(k))
+        entropy = F.log2(n) - F.aggregate(F.array_distinct(pairs), F.lit(0.0), lambda s, p: s + part(p)) / n
+        return F.when(n >= 2, F.least(F.lit(1.0), entropy / math.log2(49)))
+
+    return _let(_let(F.transform(acts(), lambda a: a["kind"]), pairs_of), share)
 
 
 def first_write_turn() -> Column:
