@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from trajectra.llm import bpe_ops, decontam, minhash, pii, quality
 from trajectra.llm.queries import BYTE_BPE
-from trajectra.llm.shared import cut, table
+from trajectra.llm.shared import cut, small_batches, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the divergence from the languages of this stage's own input."""
+    small_batches(spark)
     refs = quality.learn_references(docs)
     return docs.withColumn("__stage", quality.verdict_column(refs, F.col("text"))).filter("__stage.kept").drop("__stage")
 
@@ -27,6 +28,7 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of rows with one doc_id one stays.  Rows without a doc_id can't be compared and all stay.
     """
+    small_batches(spark)
     found = minhash.near_duplicates(docs, words=5, percent=80)
     touched = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"), F.min("kept").alias("kept")).filter("n > 1 OR NOT kept")
     touched = cut(touched.select(F.col("doc_id").alias("__stage_id"), "kept"))
@@ -53,6 +55,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document's token count, and digests of its token ids and of the text decoded from them."""
+    small_batches(spark)
     return bpe_ops.bpe_round_trip(docs, BYTE_BPE)
 
 

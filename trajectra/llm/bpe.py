@@ -39,7 +39,7 @@ _SPACE_RUN = re.compile(rf"[{_WS}]+")
 _IS_SPACE = re.compile(rf"[{_WS}]")
 
 WINDOW_CHARS = 1 << 16
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 100_000
 CACHED_UNIT = 256
 
 

@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import gc
+import re
 import tempfile
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Bytes of a batch that goes to a Python worker.  A batch is held off the heap in the JVM, with room to double, and
+#: again in the worker; the default of 64 MB is too much for small executors and whole texts.
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's bound on batches to BATCH_BYTES, unless it is lower already."""
+    now = re.fullmatch(r"(\d+)b?", spark.conf.get(_BATCH) or "")
+    if now is None or int(now[1]) > BATCH_BYTES or int(now[1]) <= 0:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -32,4 +49,21 @@ def cut(df: DataFrame) -> DataFrame:
     folder = shared_dir(spark)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    out = df.checkpoint()
+    release(spark)
+    return out
+
+
+_released = [0.0]
+
+
+def release(spark: SparkSession, every: float = 4.0) -> None:
+    """Let Spark drop the shuffle files and blocks behind lineage that was cut, at most every few seconds.
+
+    It drops them when the driver's JVM collects the objects that stand for them; on its own it
+    does so every half hour, and meanwhile a job of many rounds fills disks with dead files.
+    """
+    if time.monotonic() - _released[0] >= every:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        _released[0] = time.monotonic()
