@@ -68,11 +68,6 @@ def without_repos(rows: DataFrame, repos: DataFrame, instance: str = "_instance_
 
 
 def first_kept(rows: DataFrame, n: int, order: str, kept: Column) -> DataFrame:
-    """Rows up to and with the n-th kept one; n of 0 or less means all.
-
-    Counts are kept per range of the order, so no single task sees all rows.
-    """
-    if n <= 0:
-        return rows.filter(kept)
-    top = rows.filter(kept).orderBy(order).limit(n)
-    return top
+    """The first n kept rows in an order, which should be total; n of 0 or less means all."""
+    kept_rows = rows.filter(kept)
+    return kept_rows if n <= 0 else kept_rows.orderBy(order).limit(n)
