@@ -28,6 +28,7 @@ pre-aggregated (minimum, count) before a shuffle; joins on them can be split by
 from __future__ import annotations
 
 import itertools
+from functools import reduce
 from collections.abc import Iterator
 
 import numpy as np
@@ -185,6 +186,27 @@ def among(rows: DataFrame, column: str, ids: DataFrame) -> DataFrame:
     return split_by(rows, column, ids)[0].join(ids.withColumnRenamed(ids.columns[0], column), column, "left_semi")
 
 
+#: Buckets of more members than this are divided before all that are left in one are compared.
+DIVIDE_OVER = 32
+
+
+def narrower(buckets: DataFrame) -> DataFrame:
+    """Large buckets (key, doc, weight) divided by a second key that members share; small ones as they are.
+
+    A pair that is still to be decided is in all buckets that its sketches share, and at
+    the threshold these are 11 of 42 on average; it is lost here only if it is just one large one, with a
+    probability of 4e-5.  Texts that merely hold the same passage seldom share two.
+    """
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("n"))
+    sized = buckets.join(sizes, "key")
+    keys = F.array_sort(F.collect_set("key"))
+    wide = sized.filter(F.col("n") > DIVIDE_OVER).groupBy("doc", "weight").agg(keys.alias("keys"))
+    twos = F.flatten(F.transform("keys", lambda a, i: F.transform(F.slice("keys", i + 2, F.size("keys")), lambda b: F.xxhash64(a, b))))
+    divided = wide.select(F.explode(twos).alias("key"), "doc", "weight")
+    shared = divided.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").select("key")
+    return sized.filter(F.col("n") <= DIVIDE_OVER).select("key", "doc", "weight").unionByName(divided.join(shared, "key").select("key", "doc", "weight"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row.
 
@@ -230,11 +252,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
         roots = cut(roots.select("node").join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
         return roots, found.select(F.col("node").alias("u"), F.col("root").alias("v"))
 
-    links = None
+    links, late = None, []
     for turn in itertools.count():
         placed = buckets.join(roots.withColumnRenamed("node", "doc"), "doc")
         mixed = placed.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a < b").select("key")
-        open_ = cut(placed.join(mixed, "key").select("key", "doc", "weight"))
+        open_ = placed.join(mixed, "key").select("key", "doc", "weight")
+        if turn == 2:
+            open_ = narrower(open_)
+        open_ = cut(open_)
         if open_.isEmpty():
             break
         order = Window.partitionBy("key").orderBy(F.col("weight").desc(), F.col("doc"))
@@ -243,8 +268,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
         linked = similar(stars.select("hub", "doc"), percent, turn == 0)
         gone = hubs.select("key", F.col("hub").alias("doc"))
         if not linked.isEmpty():
-            if turn == 0:  # nearly all links are found here; later ones are united at the end of their turn
+            if turn == 0:  # nearly all links are found here; the roots only spare comparisons, so later links are united at the end
                 roots, links = united(roots, links, linked)
+            else:
+                late.append(linked)
             near_hub = cut(stars.join(linked, ["hub", "doc"]).select("key", "hub", "doc", F.col("share").alias("near_share")))
             gone = gone.unionByName(near_hub.select("key", "doc")).distinct()
             root_of = lambda column: roots.select(F.col("node").alias(column), F.col("root").alias(f"{column}_root"))
@@ -256,13 +283,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
                 within = F.col("near_share") - F.col("share") <= 1 - percent / 100 + 1e-9
                 across = outer.join(near_hub, ["key", "hub"]).filter(within).select(F.greatest("other", "doc").alias("hub"), F.least("other", "doc").alias("doc")).distinct()
                 across = across.join(root_of("doc"), "doc").join(root_of("hub"), "hub").filter("doc_root <> hub_root").select("hub", "doc")
-                more = similar(across, percent)
-                found = more if turn == 0 else linked.unionByName(more)
-            else:
-                found = None if turn == 0 else linked
-            if found is not None and (turn > 0 or not found.isEmpty()):
-                roots, links = united(roots, links, found)
+                late.append(similar(across, percent))
         buckets = cut(open_.join(gone, ["key", "doc"], "left_anti"))
+    if late:
+        roots, links = united(roots, links, reduce(DataFrame.unionByName, late))
     named = reps.select(*name, "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(*name, F.coalesce("root", "rep").alias("component"))
     joined = signed.select("doc_id", *name).join(named, name, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
