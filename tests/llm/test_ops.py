@@ -1,6 +1,7 @@
 """Each operator against a brute-force version on small documents with all kinds of odd rows."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -366,6 +367,30 @@ def test_url_models_tell_classes_apart(spark):
     assert got["http://good99.com/page"] > 0 > got["http://spam-pills99.net/es/buy"]
 
 
+def test_url_models_learn_from_all_urls_and_characters(spark):
+    """More URLs than any sample held, one of them long: the counts behind the ratios are those of all, and both joins score alike."""
+    rows = [(f"http://h{k}.com/", "allow") for k in range(9_000)] + [("http://b.net/es/" + "q" * 40_000 + "\U0001f642z", "block"), ("", "block")]
+    model = urls.train(spark.createDataFrame(rows, "url string, verdict string"), urls.Bounds(order=2)).cache()
+    grams = {v: Counter(t[e - k : e] for u, w in rows if w == v for t in ["\u0002" + u + "\u0003"] for e in range(2, len(t) + 1) for k in (1, 2)) for v in ("allow", "block")}
+    ratios = {r.gram: r.ratio for r in model.collect()}
+    assert set(ratios) == set(grams["allow"]) | set(grams["block"])
+
+    def p(gram, v):
+        lower_order = p(gram[1:], v) if len(gram) > 1 else 1 / 256
+        after = [n for g, n in grams[v].items() if len(g) == len(gram) and g[:-1] == gram[:-1]]
+        return (grams[v][gram] + len(after) * lower_order) / (sum(after) + len(after)) if after else lower_order
+
+    for gram in ("h", "/\u0003", "qq", "q\U0001f642", "z\u0003", "0.", "9.", "\u0002\u0003"):
+        assert ratios[gram] == pytest.approx(math.log(p(gram, "allow") / p(gram, "block"))), gram
+    new = spark.createDataFrame([("http://h1.org/q",), ("",), ("\u6f22qq" * 2_000,)], "url string")
+    for broadcast_rows in (0, urls.BROADCAST_ROWS):
+        got = {r.url: r.score for r in urls.score(new, model, urls.Bounds(order=2), broadcast_rows=broadcast_rows).collect()}
+        assert len(got) == 3
+        for u, found in got.items():
+            t = "\u0002" + u + "\u0003"
+            assert found == pytest.approx(sum(ratios.get(t[e - 2 : e], ratios.get(t[e - 1], 0.0)) for e in range(2, len(t) + 1)) / (len(t) - 1)), u[:20]
+
+
 def test_url_probabilities_sum_to_one(spark):
     """The smoothed distribution after a history, over all characters, against the interpolation written out."""
     rows = [("ab", "allow"), ("ac", "allow"), ("abd", "block")]

@@ -10,21 +10,25 @@ that ends at it; the score is their mean, so it doesn't depend on the length.  A
 URL is blocked if its score is below a threshold calibrated on the training
 URLs: the midpoint of the two classes' mean scores.
 
-The models learn from URLs on which the rules decide.  At most ``sample_urls``
-different URLs of each class are used (those of the smallest hashes), which bounds
-the model at ``2 * sample_urls * url_chars * orders`` grams and makes it fit for a broadcast.
+The models learn from all different URLs on which the rules decide, at full length.  A
+URL gives one window for each character, the longest gram that ends at it; windows are
+counted before they are shuffled, and the counts of shorter grams are sums over
+windows.  For scoring, each different window gets its ratio by joins with the model; these
+ratios are broadcast if they are at most BROADCAST_ROWS, else joined by shuffle.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ALLOW, BLOCK = "allow", "block"
 #: Begins and ends a URL in the models.
 _BEGIN, _END = "\u0002", "\u0003"
+#: Rows of up to 4 characters and a ratio that are broadcast, about 20 MB; more are shuffled, with the same result.
+BROADCAST_ROWS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -44,11 +48,9 @@ RULES = (Rule(ALLOW, "com", "/"), Rule(BLOCK, "example.com", "/en/"), Rule(ALLOW
 
 @dataclass(frozen=True)
 class Bounds:
-    """Longest gram, different training URLs of each class, and characters of a URL that the models learn from."""
+    """Longest gram, and number of characters over which the models are uniform without counts."""
 
     order: int = 4
-    sample_urls: int = 4_000
-    url_chars: int = 256
     alphabet: int = 256
 
 
@@ -74,16 +76,24 @@ def _padded(url: Column) -> Column:
     return F.concat(F.lit(_BEGIN), F.lower(url), F.lit(_END))
 
 
+def _windows(url: Column, order: int) -> Column:
+    """The last ``order`` characters, or as many as there are, up to each character but the first; in linear time."""
+    at = lambda chars, i: F.concat(*(F.when(i >= k, F.get(chars, i - k)).otherwise(F.lit("")) for k in range(order - 1, -1, -1)))
+    ends = F.transform(F.array(F.split(_padded(url), "")), lambda chars: F.transform(chars, lambda _, i: at(chars, i)))
+    return F.slice(F.get(ends, F.lit(0)), 2, F.length(url) + 1)
+
+
+def _suffixes(window: str) -> Column:
+    """The grams that end where the window does."""
+    return F.transform(F.sequence(F.lit(1), F.length(window)), lambda k: F.right(F.col(window), k))
+
+
 def train(judged: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     """gram and its log ratio (accepted over rejected), from rows (url, verdict); no rows give an empty model."""
-    distinct = judged.groupBy("url", "verdict").agg(F.lit(1).alias("one"))
-    rank = F.row_number().over(Window.partitionBy("verdict").orderBy(F.xxhash64("url"), "url"))
-    sample = distinct.withColumn("rank", rank).filter(F.col("rank") <= bounds.sample_urls)
-    text = F.substring(_padded(F.col("url")), 1, bounds.url_chars)
-    ends = F.sequence(F.lit(2), F.length("text"))
-    grams = F.flatten(F.transform(ends, lambda e: F.transform(F.sequence(F.lit(1), F.least(F.lit(bounds.order), e)), lambda k: F.substring(F.col("text"), e - k + 1, k))))
-    seen = sample.select("verdict", text.alias("text")).select("verdict", F.explode(grams).alias("gram"))
-    counts = seen.groupBy("gram").agg(F.count_if(F.col("verdict") == ALLOW).cast("double").alias("n_a"), F.count_if(F.col("verdict") == BLOCK).cast("double").alias("n_b"))
+    seen = judged.distinct().select("verdict", F.explode(_windows(F.col("url"), bounds.order)).alias("window"))
+    in_class = lambda verdict: F.count_if(F.col("verdict") == verdict).cast("double")
+    windows = seen.groupBy("window").agg(in_class(ALLOW).alias("n_a"), in_class(BLOCK).alias("n_b"))
+    counts = windows.select(F.explode(_suffixes("window")).alias("gram"), "n_a", "n_b").groupBy("gram").agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"))
     counts = counts.withColumn("k", F.length("gram")).withColumn("history", F.substring("gram", 1, F.col("k") - 1)).withColumn("shorter", F.substring("gram", 2, bounds.order))
     sums = [f(c).alias(f"{m}_{c[-1]}") for c in ("n_a", "n_b") for f, m in ((F.sum, "n"), (lambda c: F.count_if(F.col(c) > 0).cast("double"), "t"))]
     totals = counts.groupBy("history").agg(*sums).select("history", *(F.col(f"{m}_{c}").alias(f"h{m}_{c}") for m in "nt" for c in "ab"))
@@ -103,16 +113,18 @@ def train(judged: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
     return out.select("gram", F.log(F.col("p_a") / F.col("p_b")).alias("ratio"))
 
 
-def score(rows: DataFrame, model: DataFrame, bounds: Bounds = Bounds()) -> DataFrame:
+def score(rows: DataFrame, model: DataFrame, bounds: Bounds = Bounds(), cut=lambda df: df, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """url and score of each different url of rows (column url); a character that no gram fits counts 0."""
-    rows = rows.select("url").distinct().withColumn("text", _padded(F.col("url")))
-    at = rows.select("url", "text", F.explode(F.sequence(F.lit(2), F.length("text"))).alias("end"))
-    for k in range(1, bounds.order + 1):
-        level = model.filter(F.length("gram") == k).select(F.col("gram").alias(f"g{k}"), F.col("ratio").alias(f"r{k}"))
-        gram = F.when(F.col("end") >= k, F.substring(F.col("text"), F.col("end") - k + 1, F.lit(k)))
-        at = at.withColumn(f"g{k}", gram).join(F.broadcast(level), f"g{k}", "left").drop(f"g{k}")
-    best = F.coalesce(*(F.col(f"r{k}") for k in range(bounds.order, 0, -1)), F.lit(0.0))
-    return at.groupBy("url").agg(F.avg(best).alias("score"))
+    # a long URL isn't repeated at each of its characters, but its name, 128 bits of its digest
+    rows = rows.select("url").distinct().withColumn("name", F.substring(F.unhex(F.sha2("url", 256)), 1, 16))
+    at = rows.select("name", F.explode(_windows(F.col("url"), bounds.order)).alias("window"))
+    grams = at.select("window").distinct().select("window", F.explode(_suffixes("window")).alias("gram"))
+    longest = F.max_by("ratio", F.when(F.col("ratio").isNotNull(), F.length("gram")))
+    ratios = cut(grams.join(model, "gram", "left").groupBy("window").agg(F.coalesce(longest, F.lit(0.0)).alias("ratio")))
+    if ratios.count() <= broadcast_rows:
+        ratios = F.broadcast(ratios)
+    means = at.join(ratios, "window").groupBy("name").agg(F.avg("ratio").alias("score"))
+    return rows.join(means, "name").select("url", "score")
 
 
 def url_verdicts(pages: DataFrame, rules: tuple[Rule, ...] = RULES, bounds: Bounds = Bounds(), page_id: str = "page_id", url: str = "url", cut=lambda df: df) -> DataFrame:
@@ -120,8 +132,8 @@ def url_verdicts(pages: DataFrame, rules: tuple[Rule, ...] = RULES, bounds: Boun
 
     The rule decides where one fits, else the models.  With no training URLs of one
     class, or for a null or empty url, the score is 0 and the verdict allow.  Repeated
-    rows are all returned.  ``cut`` may save the model, which is small, instead of
-    computing it for each use.
+    rows are all returned.  ``cut`` may save the model and the windows' ratios, which
+    are far fewer than characters, instead of computing them for each use.
     """
     host, path = host_path(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host.alias("host"), path.alias("path"))
@@ -129,8 +141,8 @@ def url_verdicts(pages: DataFrame, rules: tuple[Rule, ...] = RULES, bounds: Boun
     rows = rows.withColumns({"rule": name, "ruled": verdict})
     judged = rows.filter(F.col("ruled").isNotNull()).select("url", F.col("ruled").alias("verdict"))
     model = cut(train(judged, bounds))
-    means = score(judged, model, bounds).join(judged.distinct(), "url").groupBy("verdict").agg(F.avg("score").alias("mean")).collect()  # two rows at most
-    scores = score(rows.filter(F.col("ruled").isNull() & F.col("url").isNotNull()), model, bounds)
+    means = score(judged, model, bounds, cut).join(judged.distinct(), "url").groupBy("verdict").agg(F.avg("score").alias("mean")).collect()  # two rows at most
+    scores = score(rows.filter(F.col("ruled").isNull() & F.col("url").isNotNull()), model, bounds, cut)
     by_model = F.lit(ALLOW)
     if len(means) == 2:
         by_model = F.when(F.col("score") < sum(m["mean"] for m in means) / 2, BLOCK).otherwise(ALLOW)
