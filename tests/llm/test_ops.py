@@ -101,6 +101,30 @@ def test_sketches_agree_with_similarity():
         assert abs(same - true) < 0.25
 
 
+def differing_bits(a, b):
+    return sum(int(x).bit_count() for x in (minhash.sketch_bits(minhash.sketch(a)) ^ minhash.sketch_bits(minhash.sketch(b))).view("uint8"))
+
+
+def test_short_texts_at_the_threshold_are_linked(spark):
+    """Five words and the same with a sixth: 4 of 5 shingles in common, whatever their hashes."""
+    pairs = [[f"p{i}w{k}" for k in range(6)] for i in range(3_000)]
+    rows = [(2 * i + j, " ".join(w[: 5 + j])) for i, w in enumerate(pairs) for j in (0, 1)]
+    got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).filter("component_id <> doc_id - doc_id % 2").count()
+    assert got == 0
+
+
+def test_repeated_sketch_entries_have_own_bits():
+    """Without the bin in the bit, the spread is about 14 for sets of 4 and 5 shingles."""
+    import numpy as np
+
+    rnd = np.random.default_rng(5)
+    found = []
+    for _ in range(500):
+        b = rnd.integers(0, 2**63, 5, dtype=np.int64).astype(np.uint64) * np.uint64(2)
+        found.append(differing_bits(np.unique(b[:4]), np.unique(b)))
+    assert 24 < np.mean(found) < 27 and np.std(found) < 7
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 40), (60, 50), (7, 7)], "u long, v long")
     got = {r.node: r.root for r in minhash.components(edges).collect()}

@@ -10,8 +10,9 @@
    share a bucket but for a probability of (1 - 0.8**ROWS)**BANDS, 3e-6 here.
 4. Candidate edges are stars: in a bucket, every member is paired with its hub only, the
    member with most bucket mates.  Pairs that can't be similar enough go, by the sizes of
-   their sets (exact) and by one bit of each sketch entry (6.5 standard deviations below
-   the threshold); the others are confirmed on the full shingle sets.
+   their sets (exact) and, if both sets have FEW shingles or more, by one bit of each sketch
+   entry and bin (6.5 binomial standard deviations below the threshold); the others are
+   confirmed on the full shingle sets.
 5. What a star can miss is a link between two members that aren't linked to the hub.
    So components are formed, and buckets whose members are all in one component are done.
    In the others the hub and the members linked to it leave: by the triangle inequality of the
@@ -83,6 +84,10 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Smaller sets skip the test of bits: a few shingles fill many bins, so their sketches vary more, and full sets are cheap.
+FEW = 64
+#: A shingle that fills several bins has an own bit in each.
+_BIN_SALT = ts.mix(np.arange(1, BINS + 1, dtype=np.uint64))
 _BAND_SALT = ts.mix(np.arange(1, BANDS + 1, dtype=np.uint64))
 
 
@@ -95,6 +100,11 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def sketch_bits(values: np.ndarray) -> np.ndarray:
+    """One bit of each entry and its bin, packed."""
+    return np.packbits((ts.mix(values ^ _BIN_SALT) & _U(1)).astype(bool)).view(np.int64)
+
+
 MARKS = ("m0", "m1", "m2", "m3")
 _SIGNATURE = "struct<n_shingles:bigint,set_a:bigint,set_b:bigint,bands:array<bigint>,marks:array<bigint>>"
 
@@ -112,7 +122,7 @@ def _signatures(words: int):
                 if len(s):
                     entries = sketch(s)
                     keys.append(band_keys(entries))
-                    bits.append(np.packbits((ts.mix(entries) & _U(1)).astype(bool)).view(np.int64))
+                    bits.append(sketch_bits(entries))
             has = np.array(n, np.int64) > 0
             lists = []
             for parts, width in ((keys, BANDS), (bits, len(MARKS))):
@@ -237,7 +247,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
         """The pairs (hub, doc) whose similarity, ``share``, is ``least`` percent or more."""
         agree = (1 + least / 100) / 2
         unlike = int(BINS * (1 - agree) + 6.5 * (BINS * agree * (1 - agree)) ** 0.5)
-        fits = (100 * F.least("n", "hub_n") >= least * F.greatest("n", "hub_n")) & (sum(F.bit_count(F.col(m).bitwiseXOR(F.col(f"hub_{m}"))) for m in MARKS) <= unlike)
+        fits = (100 * F.least("n", "hub_n") >= least * F.greatest("n", "hub_n")) & ((F.least("n", "hub_n") < FEW) | (sum(F.bit_count(F.col(m).bitwiseXOR(F.col(f"hub_{m}"))) for m in MARKS) <= unlike))
         likely = cut(pairs.distinct().join(as_hub(marks), "hub").join(marks, "doc").filter(fits).select("hub", "doc").distinct())
         if likely.isEmpty():
             return likely.withColumn("share", F.lit(1.0))
