@@ -125,6 +125,30 @@ def test_repeated_sketch_entries_have_own_bits():
     assert 24 < np.mean(found) < 27 and np.std(found) < 7
 
 
+def test_links_within_just_one_large_bucket(spark):
+    """Two texts whose sketches share one band, which forty unlike texts share too."""
+    import numpy as np
+    import pyarrow as pa
+
+    for k in range(100):
+        common, own = [f"c{k}x{i}" for i in range(1_220)], [f"o{k}x{i}" for i in range(800)]
+        texts = [" ".join(common + own[:400]), " ".join(common + own[400:])]  # similarity 0.604
+        first, second = (minhash.sketch(s) for s in minhash.shingle_sets(pa.array(texts), 1))
+        bands = np.flatnonzero(minhash.band_keys(first) == minhash.band_keys(second))
+        if len(bands) == 1:
+            break
+    bins = np.arange(minhash.ROWS) + minhash.ROWS * bands[0]
+    bin_of = lambda words: [int(s[0]) >> 56 for s in minhash.shingle_sets(pa.array(words), 1)]
+    hashes = [int(s[0]) for s in minhash.shingle_sets(pa.array(common), 1)]
+    passage = [w for w, h in zip(common, hashes) if h in {int(x) for x in first[bins]}]
+    assert len(passage) == minhash.ROWS
+    other = [f"w{i}" for i in range(8_000)]
+    other = [w for w, b in zip(other, bin_of(other)) if b not in set(bins.tolist())]
+    rows = [(i, " ".join(passage + other[150 * i : 150 * (i + 1)])) for i in range(40)] + [(100, texts[0]), (101, texts[1])]
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=1, percent=60).collect()}
+    assert got == {i: min(i, 100) for i, _ in rows}
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(50, 40), (60, 50), (7, 7)], "u long, v long")
     got = {r.node: r.root for r in minhash.components(edges).collect()}
