@@ -11,10 +11,12 @@ weighed by the lengths of the left parts, is the merge list's sufficient
 lookahead (:func:`sufficient_lookahead`).  Token edges that lie at least that many
 bytes before the end of what was read are final: tokens before them are emitted
 and their bytes forgotten.  No merge crosses a final edge, so the rest is
-tokenized as if it began there.
+tokenized as if it began there.  The proof needs that a merge's parts are single bytes or made by
+merges of lower rank, which is checked when a vocabulary is loaded.
 
-Memory is bounded for texts of any length: a window of characters, a piece buffer
-of a few lookaheads and a cache of a fixed number of entries.
+Beside the text itself, memory is bounded for texts of any length and kind: a window of characters, or in
+runs without white space single pieces, a long one passed to the transducer in chunks; a buffer of
+a few lookaheads and a cache of a fixed number of entries.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ UNITS = re.compile(rf" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 _SPACE_RUN = re.compile(rf"[{_WS}]+")
 _IS_SPACE = re.compile(rf"[{_WS}]")
 
-WINDOW_CHARS = 1 << 16
+WINDOW_CHARS, CHUNK_CHARS = 1 << 16, 1 << 12
 CACHE_ENTRIES = 100_000
 CACHED_UNIT = 256
 
@@ -61,6 +63,16 @@ def sufficient_lookahead(merges: Iterable[tuple[bytes, bytes]]) -> int:
     return most
 
 
+def check_order(merges: Iterable[tuple[bytes, bytes]]) -> None:
+    """Raise unless every merge's parts are single bytes or made by merges before it."""
+    made: set[bytes] = set()
+    for u, v in merges:
+        for part in (u, v):
+            if len(part) != 1 and part not in made:
+                raise ValueError(f"the merge of {u!r} and {v!r} comes before one that makes {part!r}")
+        made.add(u + v)
+
+
 class Generations(dict):
     """A cache that forgets: when full it becomes the old generation, from which used entries come back."""
 
@@ -99,6 +111,7 @@ class ByteBPE:
         self.byte_len = np.array([len(b) for b in self.bytes_of], np.int64)
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         merges = [(raw(a), raw(b)) for a, b in pairs]
+        check_order(merges)
         self.start = [vocab[bytes([b])] for b in range(256)]
         self.size = size
         #: (left id * size + right id) to rank * size + id of the union
@@ -159,12 +172,14 @@ class ByteBPE:
         limit = max(4 * self.lookahead, 1024)
         for chunk in chunks:
             buffer += chunk
-            while len(buffer) >= limit:
-                ids = self.merge_ids(buffer[:limit])
+            at = 0
+            while len(buffer) - at >= limit:
+                ids = self.merge_ids(buffer[at : at + limit])
                 ends = np.cumsum(self.byte_len[ids])
                 n = int(np.searchsorted(ends, limit - self.lookahead, "right"))
                 yield array("I", ids[:n]).tobytes()
-                buffer = buffer[int(ends[n - 1]) if n else 0 :]
+                at += int(ends[n - 1]) if n else 0
+            buffer = buffer[at:]
         if buffer:
             yield array("I", self.merge_ids(buffer)).tobytes()
 
@@ -177,30 +192,48 @@ class ByteBPE:
     def _unit(self, unit: str) -> bytes:
         return b"".join(map(self._pieces.__getitem__, PIECES.findall(unit)))
 
-    def _windows(self, text: str) -> Iterator[str]:
-        """Slices of a text that end where a piece ends: before white space that follows other characters.
+    def _windows(self, text: str, i: int, n: int) -> Iterator[tuple[int, int]]:
+        """Slices of text[i:n] that end where a piece ends: before white space that follows other characters.
 
-        Where a window has no such place, as in a text without spaces, it grows to
-        the next one; the pieces of such a long run still pass the transducer.
+        Where a window has no such place, as in a text without spaces, it goes on to the next one.
         """
-        i, n = 0, len(text)
         while i < n:
             j = min(i + WINDOW_CHARS, n)
             while j < n and not (_IS_SPACE.match(text, j) and not _IS_SPACE.match(text, j - 1)):
-                m = _IS_SPACE.search(text, j + 1)
+                m = _IS_SPACE.search(text, j + 1, n)
                 j = m.start() if m else n
-            yield text[i:j]
+            yield i, j
             i = j
 
+    def _long_window(self, text: str, i: int, j: int) -> Iterator[bytes]:
+        """A window of any length, piece by piece; long pieces pass the transducer in chunks."""
+        for m in PIECES.finditer(text, i, j):
+            a, b = m.span()
+            if b - a <= CACHED_UNIT:
+                yield self._pieces[text[a:b]]
+            else:
+                yield from self.transduce(text[k : min(k + CHUNK_CHARS, b)].encode() for k in range(a, b, CHUNK_CHARS))
+
+    def _parts(self, text: str) -> Iterator[tuple[int, int, int | None]]:
+        """Start and end of what lies between added tokens, and of these, with their ids."""
+        at = 0
+        for m in self._split_added.finditer(text) if self._split_added else ():
+            yield at, m.start(), None
+            yield *m.span(), self.added[m.group()]
+            at = m.end()
+        yield at, len(text), None
+
     def encode_packed(self, text: str) -> Iterator[bytes]:
         """Ids of a text as little-endian unsigned 32-bit integers, window by window."""
-        parts = self._split_added.split(text) if self._split_added else [text]
-        for k, part in enumerate(parts):
-            if k % 2:
-                yield array("I", [self.added[part]]).tobytes()
-            else:
-                for window in self._windows(part):
-                    yield b"".join(map(self._units.__getitem__, UNITS.findall(window)))
+        for a, b, added in self._parts(text):
+            if added is not None:
+                yield array("I", [added]).tobytes()
+                continue
+            for i, j in self._windows(text, a, b):
+                if j - i <= 2 * WINDOW_CHARS:
+                    yield b"".join(map(self._units.__getitem__, UNITS.findall(text, i, j)))
+                else:
+                    yield from self._long_window(text, i, j)
 
     def encode(self, text: str) -> list[int]:
         out = array("I")
