@@ -6,9 +6,10 @@ before and after the word), or if none is known of its 4-grams, and so on down t
 single characters.  A text's language is the one with the largest sum.
 
 Words are runs of letters, lower-cased.  The model learns from at most ``TRAIN_ROWS``
-different whole texts of each language, those with the smallest hashes,
-and keeps at most ``WORDS`` words and ``GRAMS`` grams of each length for a language; so
-what is sent to executors is bounded by the number of languages.
+different whole texts of each language, those with the smallest hashes; it keeps all their
+words and grams.  So what is sent to executors is bounded by the labelled rows.
+A word or gram has an entry for each language that it was seen in, and counts for the others
+with the language's log frequency of the unseen.
 """
 
 from __future__ import annotations
@@ -24,9 +25,7 @@ from pyspark.sql import functions as F
 from trajectra.llm import textscan as ts
 
 UNKNOWN = "und"
-TRAIN_ROWS, WORDS, GRAMS, LONGEST = 1_500, 50_000, 10_000, 5
-#: Languages at most, those with most training texts; this bounds the model and the table of limits that is broadcast.
-LANGUAGES = 256
+TRAIN_ROWS, LONGEST = 500, 5
 _U = np.uint64
 _BLANK = 0x20
 _tables: dict[str, np.ndarray] = {}
@@ -90,11 +89,17 @@ def gram_spans(r: Runs, n: int, words: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 @dataclass
 class Model:
-    """Languages; for words (0) and grams of each length, sorted hashes and log frequencies (hash, language)."""
+    """For words (0) and grams of each length: sorted hashes, whose entries lie between ``bounds``, and the entries.
+
+    An entry is a language and what its log frequency is above ``unseen`` (level, language).
+    """
 
     names: list[str]
     keys: list[np.ndarray]
-    logs: list[np.ndarray]
+    bounds: list[np.ndarray]
+    langs: list[np.ndarray]
+    gains: list[np.ndarray]
+    unseen: np.ndarray
 
     def find(self, level: int, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         keys = self.keys[level]
@@ -103,11 +108,20 @@ class Model:
         at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
         return at, keys[at] == h
 
-    def score_words(self, r: Runs) -> np.ndarray:
-        """Log frequencies of each word."""
-        out = np.zeros((len(r.start), len(self.names)))
+    def add(self, sums: np.ndarray, level: int, at: np.ndarray, doc: np.ndarray, weight: np.ndarray) -> None:
+        """Add the log frequencies of the keys ``at``, each with a weight, to the sums of their documents."""
+        sums += np.outer(np.bincount(doc, weight, len(sums)), self.unseen[level])
+        n = self.bounds[level][at + 1] - self.bounds[level][at]
+        key = np.repeat(np.arange(len(at)), n)
+        entry = self.bounds[level][at][key] + np.arange(len(key)) - (np.cumsum(n) - n)[key]
+        cell = doc[key] * sums.shape[1] + self.langs[level][entry]
+        sums += np.bincount(cell, self.gains[level][entry] * weight[key], sums.size).reshape(sums.shape)
+
+    def score_texts(self, r: Runs, n_texts: int) -> np.ndarray:
+        """Summed log frequencies of each text's words."""
+        sums = np.zeros((n_texts, len(self.names)))
         at, known = self.find(0, r.hash(r.start, r.end))
-        out[known] = self.logs[0][at[known]] if known.any() else 0
+        self.add(sums, 0, at[known], r.doc[known], np.ones(int(known.sum())))
         left = np.flatnonzero(~known)
         for n in range(LONGEST, 0, -1):
             if not len(left):
@@ -116,11 +130,9 @@ class Model:
             at, known = self.find(n, r.hash(start, start + n))
             word, at = word[known], at[known]
             found = np.bincount(word, minlength=len(left))
-            logs = self.logs[n][at]
-            for k in range(len(self.names)):
-                out[left, k] = np.bincount(word, logs[:, k], len(left)) / np.maximum(found, 1)
+            self.add(sums, n, at, r.doc[left[word]], 1 / found[word])
             left = left[found == 0]
-        return out
+        return sums
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -144,38 +156,37 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """A model from rows with text and language; null texts or languages are left out."""
+    """A model from rows with text and language; null texts or languages are left out, a text that occurs often counts once."""
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
     rows = rows.withColumn("h", F.xxhash64("text"))
-    # the hashes alone are ranked; a text that occurs many times counts once
+    # the hashes alone are ranked
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    limits = rows.groupBy("lang", "h").agg(F.lit(1).alias("one")).withColumn("rank", rank).filter(F.col("rank") <= TRAIN_ROWS).groupBy("lang").agg(F.max("h").alias("limit"), F.count("*").alias("n"))
-    limits = limits.orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).select("lang", "limit")
+    limits = rows.groupBy("lang", "h").agg(F.lit(1).alias("one")).withColumn("rank", rank).filter(F.col("rank") <= TRAIN_ROWS).groupBy("lang").agg(F.max("h").alias("limit"))
     chosen = rows.join(F.broadcast(limits), "lang").filter("h <= limit").groupBy("lang", "h").agg(F.min("text").alias("text"))
     counts = chosen.select("text", "lang").mapInArrow(_counts, "lang string, level int, hash bigint, n bigint").groupBy("lang", "level", "hash").agg(F.sum("n").alias("n"))
-    best = Window.partitionBy("lang", "level").orderBy(F.col("n").desc(), "hash")
-    totals = {(t["lang"], t["level"]): t["n"] for t in counts.groupBy("lang", "level").agg(F.sum("n").alias("n")).collect()}
-    kept = counts.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= F.when(F.col("level") == 0, WORDS).otherwise(GRAMS))
-    got = kept.filter((F.col("n") > 1) | (F.col("level") == 1)).select("lang", "level", "hash", "n").toArrow()
-    names = sorted({k for k, _ in totals})
-    keys, logs = [], []
-    lang_at = np.array([names.index(x) for x in got["lang"].to_pylist()], np.int64)
+    got = counts.toArrow()
+    coded = got["lang"].combine_chunks().dictionary_encode()
+    names = sorted(coded.dictionary.to_pylist())
+    lang_at = np.array([names.index(x) for x in coded.dictionary.to_pylist()], np.int64)[coded.indices.to_numpy()]
     level, h, n = got["level"].to_numpy(), got["hash"].to_numpy().view(np.uint64), got["n"].to_numpy()
+    model = Model(names, [], [], [], [], np.zeros((LONGEST + 1, len(names))))
     for k in range(LONGEST + 1):
-        mine = level == k
-        every, at = np.unique(h[mine], return_inverse=True)
-        c = np.full((len(every), len(names)), 0.5)
-        c[at, lang_at[mine]] += n[mine]
-        total = np.array([totals.get((x, k), 0) for x in names], float)
-        keys.append(every)
-        logs.append(np.log(c / (total + 0.5 * (len(every) + 1))))
-    return Model(names, keys, logs)
+        mine = np.flatnonzero(level == k)
+        mine = mine[np.lexsort((lang_at[mine], h[mine]))]
+        every, first = np.unique(h[mine], return_index=True)
+        floor = np.bincount(lang_at[mine], n[mine], len(names)) + 0.5 * (len(every) + 1)
+        model.keys.append(every)
+        model.bounds.append(np.append(first, len(mine)))
+        model.langs.append(lang_at[mine].astype(np.int32))
+        model.gains.append(np.log((n[mine] + 0.5) / 0.5).astype(np.float32))
+        model.unseen[k] = np.log(0.5 / floor)
+    return model
 
 
 def predict_column(model: Model, text: Column | str) -> Column:
     """struct<lang, score>; ``und`` and 0 for null, for a text without letters, or for a model without languages.
 
-    The score is the language's share of the evidence, that of at most 20 words, in 0 to 1.
+    Of languages with equal sums the first by name is taken.  The score is the language's share of the evidence, that of at most 20 words, in 0 to 1.
     """
 
     @F.arrow_udf("struct<lang:string,score:double>")
@@ -186,8 +197,7 @@ def predict_column(model: Model, text: Column | str) -> Column:
                 r = runs(group)
                 words = np.bincount(r.doc, minlength=len(group))
                 if model.names:
-                    logs = model.score_words(r)
-                    sums = np.stack([np.bincount(r.doc, logs[:, k], len(group)) for k in range(len(model.names))], 1)
+                    sums = model.score_texts(r, len(group))
                     best = sums.argmax(1)
                     scaled = sums * (np.minimum(words, 20) / np.maximum(words, 1))[:, None]
                     share = 1 / np.exp(np.clip(scaled - scaled.max(1, keepdims=True), -700, 0)).sum(1)
@@ -206,7 +216,11 @@ def held_out(doc_id: Column, folds: int, fold: int) -> Column:
 
 
 def identify(docs: DataFrame, folds: int = 3, fold: int = 1, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """doc_id, held_out, lang_pred, score for every row; learns only from rows that aren't held out (and have an id)."""
+    """doc_id, held_out, lang_pred, score for every row; learns only from rows that aren't held out (and have an id).
+
+    Repeated rows and null ids stay, equal texts get equal results; an empty table gives no rows; other columns aren't
+    read, whatever their names.  Texts of any length are read whole, in time in proportion to it.
+    """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     model = train(rows.filter(~held_out(F.col("doc_id"), folds, fold) & F.col("doc_id").isNotNull()))
     out = rows.select("doc_id", held_out(F.col("doc_id"), folds, fold).alias("held_out"), predict_column(model, F.col("text")).alias("p"))
