@@ -91,39 +91,69 @@ def _confirmed(kind: str, span: Column) -> Column:
     return F.lit(True)
 
 
+#: Numbers of a list's blocks for sums and maxima of all before an item: linear time in effect, where slices from the start are quadratic.
+_BLOCK = 64
+#: Matches on each side of a span whose text can lie within its context; a match has four characters or more.
+_BESIDE = CONTEXT_CHARS // 4 + 1
+
+
+def _bound(value: Column, use) -> Column:
+    """use(value) with the value named once: an element of a one-element array."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _sum(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0), lambda total, x: total + x)
+
+
+def _running(values: Column, total, both) -> Column:
+    """For each value the total of all values before it, 0 for none."""
+    indexes = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.expr("CAST(array() AS array<int>)"))
+    none = F.lit(0)
+
+    def run(values: Column) -> Column:
+        blocks = F.transform(indexes(F.ceil(F.size(values) / _BLOCK).cast("int")), lambda b: total(F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK))))
+        earlier = lambda blocks: F.transform(indexes(F.size(blocks)), lambda b: F.when(b > 0, total(F.slice(blocks, F.lit(1), b))).otherwise(none))
+        inside = lambda i: F.when(i % _BLOCK > 0, total(F.slice(values, i - i % _BLOCK + 1, i % _BLOCK))).otherwise(none)
+        return _bound(_bound(blocks, earlier), lambda sums: F.transform(indexes(F.size(values)), lambda i: both(F.get(sums, F.floor(i / _BLOCK).cast("int")), inside(i))))
+
+    return _bound(values, run)
+
+
 def _spans_of(kind: str, pattern: str, text: Column) -> Column:
     """array<struct<kind, start, end, score>> of one kind's confirmed spans.
 
     split() gives the text between the matches, so a match's start is the length of
-    all matches and gaps before it; it is summed for confirmed matches alone.
+    all matches and gaps before it.  Its context is read from the matches and gaps beside it.
     """
     empty = F.expr("CAST(array() AS array<struct<kind:string,start:int,end:int,score:double>>)")
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    last, first = lambda s: F.right(s, F.lit(CONTEXT_CHARS)), lambda s: F.left(s, F.lit(CONTEXT_CHARS))
 
     def located(pair: Column) -> Column:
         found, gaps = pair["found"], pair["gaps"]
+        at = F.sequence(F.lit(0), F.size(found) - 1)
+        # what lies before match i, from match i - 1 on, and after it, to match i + 1
+        before = F.transform(at, lambda i: last(F.concat(F.when(i > 0, F.get(found, i - 1)).otherwise(""), F.get(gaps, i))))
+        after = F.transform(at, lambda i: first(F.concat(F.get(gaps, i + 1), F.coalesce(F.get(found, i + 1), F.lit("")))))
+        steps = F.transform(at, lambda i: F.length(F.get(gaps, i)) + F.length(F.get(found, i)))
+        sides = F.struct(before.alias("before"), after.alias("after"), _running(steps, _sum, lambda a, b: a + b).alias("passed"))
 
-        def start_of(i: Column) -> Column:
-            before = lambda parts, n: F.aggregate(F.slice(parts, F.lit(1), n), F.lit(0), lambda total, x: total + F.length(x))
-            return before(gaps, i + 1) + before(found, i)
-
-        def span(i: Column) -> Column:
-            start = start_of(i)
-            return F.struct(F.lit(kind).alias("kind"), start.cast("int").alias("start"), (start + F.length(F.get(found, i))).cast("int").alias("end"))
+        def spans(sides: Column) -> Column:
+            def scored(i: Column) -> Column:
+                start = F.get(sides["passed"], i) + F.length(F.get(gaps, i))
+                low = F.greatest(i - _BESIDE, F.lit(0))
+                near = F.lower(F.concat(last(F.array_join(F.slice(sides["before"], low + 1, i - low + 1), "")), F.lit(" "), first(F.array_join(F.slice(sides["after"], i + 1, F.lit(_BESIDE + 1)), ""))))
+                score = F.lit(PRIOR[kind]) + F.when(near.rlike(SUPPORT[kind]), GAIN).otherwise(0.0) - F.when(near.rlike(AGAINST), LOSS).otherwise(0.0)
+                return F.struct(F.lit(kind).alias("kind"), start.cast("int").alias("start"), (start + F.length(F.get(found, i))).cast("int").alias("end"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)).alias("score"))
 
-        def scored(s: Column) -> Column:
-            low = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
-            near = F.lower(F.concat(F.substring(text, low + 1, s["start"] - low), F.lit(" "), F.substring(text, s["end"] + 1, F.lit(CONTEXT_CHARS))))
-            score = F.lit(PRIOR[kind]) + F.when(near.rlike(SUPPORT[kind]), GAIN).otherwise(0.0) - F.when(near.rlike(AGAINST), LOSS).otherwise(0.0)
-            return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.greatest(F.lit(0.0), F.least(F.lit(1.0), score)).alias("score"))
+            return F.transform(F.filter(at, lambda i: _confirmed(kind, F.get(found, i))), scored)
 
-        valid = F.filter(F.sequence(F.lit(0), F.size(found) - 1), lambda i: _confirmed(kind, F.get(found, i)))
-        spans = F.transform(F.transform(valid, span), scored)
-        return spans if kind in BASE_KINDS else F.filter(spans, lambda s: s["score"] >= MIN_SCORE)
+        out = _bound(sides, spans)
+        return out if kind in BASE_KINDS else F.filter(out, lambda s: s["score"] >= MIN_SCORE)
 
-    pairs = F.array(F.struct(found.alias("found"), F.split(text, pattern, -1).alias("gaps")))
-    # transform() over a one-element array names the two lists once for all expressions below
-    return F.when(F.size(found) > 0, F.flatten(F.transform(pairs, located))).otherwise(empty)
+    pairs = F.struct(found.alias("found"), F.split(text, pattern, -1).alias("gaps"))
+    return F.when(F.size(found) > 0, _bound(pairs, located)).otherwise(empty)
 
 
 def find_spans(text: Column) -> Column:
@@ -132,21 +162,45 @@ def find_spans(text: Column) -> Column:
     return F.concat(*(_spans_of(kind, pattern, value) for kind, pattern in PATTERNS))
 
 
+#: Characters of the pieces that a text is cut into, as a substring takes time in proportion to its distance from the start.
+_PIECE = 1024
+
+
 def redact(text: Column, spans: Column) -> Column:
     """The text with each span replaced by its kind in brackets; overlapping spans become one, named after the first."""
-    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{_PIECE}}}"), F.lit(0))
+    reached = lambda ordered: _running(F.transform(ordered, lambda s: s["end"]), F.array_max, F.greatest)
 
-    def step(acc: Column, s: Column) -> Column:
-        out = F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), out.alias("out"))
+    def replaced(ordered: Column) -> Column:
+        """Spans that begin at or behind the end of all before them, each with that end; it is where the text goes on."""
+        known = F.arrays_zip(ordered.alias("span"), reached(ordered).alias("passed"))
+        return F.filter(known, lambda x: x["span"]["start"] >= x["passed"])
 
-    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    done = F.aggregate(ordered, state, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    def out(parts: Column) -> Column:
+        pieces, shown, end = parts["pieces"], parts["shown"], parts["end"]
+
+        def between(a: Column, b: Column) -> Column:
+            low, high = F.floor(a / _PIECE).cast("int"), F.floor((b - 1) / _PIECE).cast("int")
+            cut = lambda k: F.substring(F.get(pieces, k), F.greatest(a - k * _PIECE, F.lit(0)) + 1, F.least(b - k * _PIECE, F.lit(_PIECE)) - F.greatest(a - k * _PIECE, F.lit(0)))
+            return F.when(b > a, F.array_join(F.transform(F.sequence(low, high), cut), "")).otherwise("")
+
+        marked = F.transform(shown, lambda x: F.concat(between(x["passed"], x["span"]["start"]), F.lit("["), F.upper(x["span"]["kind"]), F.lit("]")))
+        return F.concat(F.array_join(marked, ""), between(end, parts["length"]))
+
+    def done(ordered: Column) -> Column:
+        end = F.array_max(F.transform(ordered, lambda s: s["end"]))
+        return _bound(F.struct(pieces.alias("pieces"), replaced(ordered).alias("shown"), end.alias("end"), F.length(text).alias("length")), out)
+
+    return F.when(F.size(spans) > 0, _bound(ordered, done)).otherwise(text)
 
 
 def personal_data(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id and its spans (array<struct<kind, start, end, score>>) for every row; null or empty texts have none."""
+    """doc_id and its spans (array<struct<kind, start, end, score>>) for every row; null or empty texts have none.
+
+    Repeated rows and null ids stay; an empty table gives no rows; texts of any length, of any number of spans, take time
+    in proportion to both; other columns aren't read, whatever their names.
+    """
     return docs.select(F.col(doc_id).alias("doc_id"), find_spans(F.col(text)).alias("spans"))
 
 
