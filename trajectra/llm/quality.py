@@ -7,10 +7,11 @@ base 2, 0 to 1) and its least distance counts, so a wrong language label does no
 harm.  A histogram of too few items says little; below a minimum length its test is
 left out.
 
-A language's common words are its ``COMMON`` most frequent.  They are found exactly in
-two passes: a word that has a share of ``SHARE`` of a language's words has that share
-in at least one Arrow batch, so the words frequent in some batch are the
-candidates, and these alone are counted over everything.
+A language's common words are its ``COMMON`` most frequent of a share of ``SHARE`` or more.  They are found exactly in
+two passes.  The first keeps 1 / SHARE counters a language (heavy hitters after Misra and Gries):
+what they lose of a word's count is less than SHARE of all words, so each common word
+keeps a counter, and counters of parts of the corpus are merged in a tree.  The second counts the words that have
+one over everything.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,8 +33,9 @@ MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WINDOW = 20, 30, 8
 #: further from its own language; below the minimum length it isn't compared.
 CLASS_BASE, CLASS_ALLOWANCE, MIN_CHARS = 0.25, 1.5, 100
 WORD_BASE, WORD_ALLOWANCE, MIN_COMMON_WORDS = 0.12, 2.5, 60
-#: Common words of a language, their least share of its words, and languages at most (those with most words).
-COMMON, SHARE, LANGUAGES = 48, 0.002, 256
+#: Common words of a language, and their least share of its words, one in so many.
+COMMON, ONE_IN = 48, 500
+SHARE = 1 / ONE_IN
 
 CLASSES = ("lower", "upper", "digit", "space", "line", "stop", "mark", "symbol", "other", "wide")
 _CLASS = np.full(256, 8, np.uint8)
@@ -164,24 +167,48 @@ def _by_language(langs: pa.Array, g: ts.Group, good: np.ndarray):
         yield name, np.flatnonzero(good & (names == name))
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words that have the least share in one batch of a language, by hash."""
+def heavy_hitters(words: np.ndarray, counts: np.ndarray, keep: int = ONE_IN) -> tuple[np.ndarray, np.ndarray]:
+    """Counters of at most ``keep`` words, from counters that may name a word several times.
+
+    All are lowered by the greatest that doesn't fit: keep + 1 of them are, so that over all mergers a word
+    loses at most one in keep + 1 of all that was counted.
+    """
+    every, at = np.unique(words, return_inverse=True)
+    total = np.bincount(at, counts, len(every)).astype(np.int64)
+    if len(every) > keep:
+        total -= np.partition(total, -keep - 1)[-keep - 1]
+    return every[total > 0], total[total > 0]
+
+
+_COUNTERS = "lang string, part int, word bigint, n bigint"
+
+
+def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Heavy hitters of each language among the words of good documents in this partition."""
+    found: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for batch in batches:
-        totals: dict[str, int] = {}
-        counts: dict[str, list] = {}
         for g in ts.groups(batch.column(0)):
             good, w = ~base_counts(g).failed, lexical_words(g)
             for name, docs in _by_language(batch.column(1), g, good):
                 mine = np.zeros(g.n, bool)
                 mine[docs] = True
                 h, c = np.unique(w.hash[mine[w.doc]], return_counts=True)
-                totals[name] = totals.get(name, 0) + int(c.sum())
-                # a word below this count in every group of the batch can't reach the share in the batch
-                enough = c >= SHARE * c.sum()
-                counts.setdefault(name, []).append(h[enough])
-        for name, parts in counts.items():
-            h = np.unique(np.concatenate(parts))
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(h), pa.string()), pa.array(h.view(np.int64))], ["lang", "word"])
+                old = found.get(name, (h[:0], c[:0]))
+                found[name] = heavy_hitters(np.append(old[0], h), np.append(old[1], c))
+    context = TaskContext.get()
+    part = context.partitionId() if context else 0
+    for name, (h, c) in found.items():
+        yield pa.RecordBatch.from_arrays([pa.array([name] * len(h), pa.string()), pa.array(np.full(len(h), part, np.int32)), pa.array(h.view(np.int64)), pa.array(c)], ["lang", "part", "word", "n"])
+
+
+def _merged(rows: DataFrame, parts: int) -> DataFrame:
+    """Counters merged into those of fewer parts."""
+
+    def merge(table: pa.Table) -> pa.Table:
+        h, c = heavy_hitters(table["word"].to_numpy().view(np.uint64), table["n"].to_numpy())
+        return pa.table({"lang": pa.array([table["lang"][0].as_py()] * len(h), pa.string()), "part": pa.array([table["part"][0].as_py()] * len(h), pa.int32()), "word": h.view(np.int64), "n": c})
+
+    return rows.withColumn("part", F.col("part") % parts).groupBy("lang", "part").applyInArrow(merge, _COUNTERS)
 
 
 def _sums(candidates: dict[str, np.ndarray]):
@@ -215,8 +242,13 @@ def _sums(candidates: dict[str, np.ndarray]):
 def learn_references(docs: DataFrame, text: str = "text", lang: str = "lang") -> References:
     """References of the languages named in ``lang`` (null or empty: no language), over all documents."""
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"))
-    seen = rows.mapInArrow(_candidates, "lang string, word bigint").distinct().groupBy("lang").agg(F.collect_list("word").alias("words"))
-    candidates = {r["lang"]: np.sort(np.array(r["words"], np.int64).view(np.uint64)) for r in seen.orderBy(F.size("words").desc(), "lang").limit(LANGUAGES).collect()}
+    counters = rows.mapInArrow(_counters, _COUNTERS)
+    for parts in (4096, 64, 1):  # a merger reads some thousand rows, whatever the number of partitions
+        counters = _merged(counters, parts)
+    found: dict[str, list[int]] = {}
+    for r in counters.select("lang", "word").collect():
+        found.setdefault(r["lang"], []).append(r["word"])
+    candidates = {name: np.sort(np.array(words, np.int64).view(np.uint64)) for name, words in found.items()}
     if not candidates:
         return References([], np.zeros((0, len(CLASSES))), np.zeros(0, np.uint64), np.zeros((0, 0)), np.zeros(0), np.zeros((0, 0), bool))
     got = rows.mapInArrow(_sums(candidates), "lang string, kind string, item bigint, n bigint").groupBy("lang", "kind", "item").agg(F.sum("n").alias("n")).collect()
@@ -267,6 +299,10 @@ def verdict_column(refs: References, text: Column | str) -> Column:
 
 
 def quality(docs: DataFrame, refs: References | None = None, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """doc_id and verdict for every row; repeated rows and null ids stay."""
+    """doc_id and verdict for every row; repeated rows and null ids stay, an empty table gives no rows.
+
+    A null or empty text has no words, so it fails the base rules.  Texts of any length are read whole.  Words of equal
+    count are common in the order of their hashes.  Other columns are not read, whatever their names.
+    """
     refs = learn_references(docs, text, lang) if refs is None else refs
     return docs.select(F.col(doc_id).alias("doc_id"), verdict_column(refs, F.col(text)).alias("v")).select("doc_id", "v.*")
