@@ -16,9 +16,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from trajectra.llm.langid import held_out
 
-TRAIN_ROWS, MAX_TERMS, MIN_TEXTS, MIN_LOG_ODDS, MIN_Z = 20_000, 500, 6, 3.0, 3.0
+TRAIN_ROWS, MIN_TEXTS, MIN_LOG_ODDS, MIN_Z = 20_000, 6, 3.0, 3.0
 KEY_WORDS = 5
 #: Lengths of stems.
 STEM = range(4, 11)
@@ -47,8 +49,9 @@ _LOOKALIKES = {
 _FOLD = {ord(a): b for odd, plain in _LOOKALIKES.values() for a, b in zip(odd, plain)} | {ord(c): None for c in "­​‌‍⁠﻿"}
 _ODD = re.compile("[" + "".join(map(chr, _FOLD)) + "℀-⅏＀-￯\U0001d400-\U0001d7ff]")
 _STAND_IN = str.maketrans("013457@$!", "oieastasi")
-_BEFORE_LETTER = re.compile(r"[013457@$!]+(?=[a-z])")
-_AFTER_LETTER = re.compile(r"(?<=[a-z])[013457]+(?![0-9a-z])")
+# possessive, and begun only where a run begins: linear on long runs
+_BEFORE_LETTER = re.compile(r"(?<![013457@$!])[013457@$!]++(?=[a-z])")
+_AFTER_LETTER = re.compile(r"(?<=[a-z])[013457]++(?![0-9a-z])")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -101,7 +104,12 @@ class Lexicon:
                 terms.append((a, b, whole))
             elif stem is not None:
                 terms.append((a, b, stem))
-        return [(a, b, w) for a, b, w in terms if not any(x <= a and b <= y for x, y in harmless)] if harmless else terms
+        if not harmless:
+            return terms
+        # of the phrases that begin at or before a term, the one that ends last decides
+        harmless.sort()
+        begins, ends = [x for x, _ in harmless], list(accumulate((y for _, y in harmless), max))
+        return [(a, b, w) for a, b, w in terms if not ((k := bisect_right(begins, a)) and b <= ends[k - 1])]
 
     def strength(self, text: str) -> float:
         """Summed weights over the length norm."""
@@ -159,8 +167,6 @@ def choose(candidates: list[tuple[str, int, int]], n_a: int, n_b: int) -> dict[s
             weights[term] = odds
             for n in STEM:
                 reach[bare[:n]] = max(reach.get(bare[:n], 0), -minus_a)
-        if len(weights) == MAX_TERMS:
-            break
     return weights
 
 
@@ -210,10 +216,14 @@ def strength_column(lexicon: Lexicon, text: Column | str) -> Column:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> DataFrame:
-    """text and toxic of the labelled documents that aren't held out; a document's label is its largest non-null one."""
+    """text and toxic of at most TRAIN_ROWS labelled documents that aren't held out.
+
+    A document's label is its largest non-null one; of several rows with one doc_id the least non-null text counts.
+    """
     usable = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out(F.col("doc_id"), folds, fold))
     chosen = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_ROWS)
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter("text IS NOT NULL").select("text", "toxic")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").filter("text IS NOT NULL")
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0, cut=lambda df: df) -> DataFrame:
@@ -221,7 +231,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0,
 
     A null or empty text has the score of a text without terms.  Without labels of
     both classes nothing matches and every score is the share of toxic labels (or
-    low, without labels).  ``cut`` may save the labelled rows, which are used twice.
+    low, without labels).  Repeated rows and null ids stay, with equal scores for equal texts; an empty table gives
+    no rows; other columns of docs and labels are not read, whatever their names.  Folding and matching take time
+    in proportion to a text's length.  ``cut`` may save the labelled rows, which are used twice.
     """
     lexicon = train(cut(training_rows(docs, labels, folds, fold)))
     rows = docs.select(F.col("doc_id"), held_out(F.col("doc_id"), folds, fold).alias("held_out"), strength_column(lexicon, F.col("text")).alias("x"))
