@@ -131,9 +131,10 @@ def url_verdicts(pages: DataFrame, rules: tuple[Rule, ...] = RULES, bounds: Boun
     """page_id, host, path, rule, verdict and score of every row.
 
     The rule decides where one fits, else the models.  With no training URLs of one
-    class, or for a null or empty url, the score is 0 and the verdict allow.  Repeated
-    rows are all returned.  ``cut`` may save the model and the windows' ratios, which
-    are far fewer than characters, instead of computing them for each use.
+    class, or for a null or empty url, the score is 0 and the verdict allow; so is a rule's row's score.  Repeated
+    rows and null ids are all returned; an empty table gives no rows; a score equal to the threshold allows; urls of any
+    length are read whole, in time in proportion to it; other columns aren't read, whatever their names.  ``cut``
+    may save the model and the windows' ratios, which are far fewer than characters, instead of computing them for each use.
     """
     host, path = host_path(F.col(url))
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), host.alias("host"), path.alias("path"))
@@ -142,10 +143,13 @@ def url_verdicts(pages: DataFrame, rules: tuple[Rule, ...] = RULES, bounds: Boun
     judged = rows.filter(F.col("ruled").isNotNull()).select("url", F.col("ruled").alias("verdict"))
     model = cut(train(judged, bounds))
     means = score(judged, model, bounds, cut).join(judged.distinct(), "url").groupBy("verdict").agg(F.avg("score").alias("mean")).collect()  # two rows at most
-    scores = score(rows.filter(F.col("ruled").isNull() & F.col("url").isNotNull()), model, bounds, cut)
     by_model = F.lit(ALLOW)
     if len(means) == 2:
         by_model = F.when(F.col("score") < sum(m["mean"] for m in means) / 2, BLOCK).otherwise(ALLOW)
-    final = F.coalesce("ruled", by_model)
-    joined = rows.join(scores, "url", "left")
-    return joined.select("page_id", "host", "path", "rule", final.alias("verdict"), F.coalesce("score", F.lit(0.0)).alias("score"))
+    # rows on which a rule decides, and null urls, are neither scored nor shuffled
+    is_open = F.col("ruled").isNull() & F.col("url").isNotNull()
+    left = rows.filter(is_open)
+    scored = left.join(score(left, model, bounds, cut), "url", "left").withColumn("verdict", by_model)
+    decided = rows.filter(~is_open).withColumns({"score": F.lit(0.0), "verdict": F.coalesce("ruled", F.lit(ALLOW))})
+    columns = ("page_id", "host", "path", "rule", "verdict", "score")
+    return decided.select(*columns).unionByName(scored.withColumn("score", F.coalesce("score", F.lit(0.0))).select(*columns))
