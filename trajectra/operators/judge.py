@@ -92,8 +92,13 @@ def ratings(answer: Column) -> Column:
 
 
 def fixed_scores(rows: DataFrame, client: Client, checklist: dict[str, list[str]], pause: float = FIRST_PAUSE) -> DataFrame:
-    """Rating columns of each main record: category rewards, their mean, the raw answer, the error if it failed."""
+    """Rating columns of each main record: category rewards, their mean, the raw answer, the error if it failed.
+
+    Records that have an llm_composite_score already aren't asked about again, and have no row in the result.
+    """
     main = rows.filter(F.coalesce("_agent_type", F.lit("main")) != "subagent")
+    if "llm_composite_score" in rows.columns:
+        main = main.filter(~already_scored(F.col("llm_composite_score")))
     asked = main.select("rec_id", answers(rating_prompt(F.col("tools"), F.col("messages"), checklist), client, pause=pause).alias("a"))
     rated = asked.withColumn("r", ratings(F.col("a.answer")))
     items = rated.filter("r IS NOT NULL").select("rec_id", F.explode("r").alias("category", "checks")).select("rec_id", "category", F.explode("checks").alias("check", "value"))
@@ -110,23 +115,32 @@ def already_scored(score: Column) -> Column:
 
 # ---- checklists made for each question ----
 
-_CHECK = "struct<check_id:string,description:string,check_type:string,required_evidence:string>"
-_CATEGORY = f"struct<category_id:string,description:string,checks:array<{_CHECK}>>"
+_CHECK = "struct<check_id:string,description:string,requirement:string,check:string,check_type:string,required_evidence:string,evidence_hint:string>"
+_CATEGORY = f"struct<category_id:string,name:string,description:string,title:string,checks:array<{_CHECK}>>"
+#: Keys of a checklist that are no categories.
+NO_CATEGORIES = ("question_summary", "summary", "metadata", "meta")
 
 
 def checklist_rows(rows: DataFrame, answer: str = "answer", cap: int = 40) -> DataFrame:
     """rec_id, cat_pos, category_id, check_pos, check_id, description of generated checklists.
 
-    Accepts {"categories": [...]} or a bare list; blank descriptions go, missing ids are
-    made from the description, and the caps and numbering are those of stats.capped_checks().
+    Accepts {"categories": [...]} and {"categories": {id: {...}}}, a bare list, and {id: {"checks": [...]}}.  Blank
+    descriptions go, missing names are made from the position, and the caps and numbering are those of stats.capped_checks().
     """
+    filled = lambda *cs: F.coalesce(*(F.when(text.strip(c) != "", c) for c in cs), F.lit(""))
     bare = text.fenced_json(F.col(answer))
-    parsed = F.when(bare.startswith("["), F.from_json(bare, f"array<{_CATEGORY}>")).otherwise(F.from_json(bare, f"struct<categories:array<{_CATEGORY}>>")["categories"])
-    cats = rows.select("rec_id", F.posexplode(parsed).alias("cat_pos", "c"))
-    checks = cats.select("rec_id", "cat_pos", text.make_id(F.coalesce("c.category_id", "c.description"), "category").alias("category_id"), F.posexplode("c.checks").alias("check_pos", "k"))
-    good = checks.filter(text.strip(F.coalesce("k.description", F.lit(""))) != "")
-    named = good.select("rec_id", "cat_pos", "category_id", "check_pos", text.make_id(F.coalesce("k.check_id", "k.description"), "check").alias("check_id"), F.col("k.description").alias("description"))
-    return stats.capped_checks(named, cap)
+    listed = F.get_json_object(bare, "$.categories")
+    source = F.when(bare.startswith("["), bare).otherwise(F.coalesce(listed, bare))
+    by_name = F.map_entries(F.from_json(source, "map<string,string>"))
+    named = F.filter(by_name, lambda e: listed.isNotNull() | (~e["key"].isin(*NO_CATEGORIES) & F.get_json_object(e["value"], "$.checks").startswith("[")))
+    keyed = F.transform(named, lambda e: F.from_json(e["value"], _CATEGORY).withField("category_id", e["key"]))
+    parsed = F.when(source.startswith("["), F.from_json(source, f"array<{_CATEGORY}>")).otherwise(keyed)
+    cats = rows.select("rec_id", F.posexplode(parsed).alias("cat_pos", "c")).filter("c IS NOT NULL")
+    category = text.make_id(filled(F.col("c.category_id"), F.col("c.name")), F.concat(F.lit("category_"), F.col("cat_pos") + 1))
+    checks = cats.select("rec_id", "cat_pos", category.alias("category_id"), F.posexplode("c.checks").alias("check_pos", "k"))
+    said = text.strip(filled(F.col("k.description"), F.col("k.requirement"), F.col("k.check")))
+    given = text.make_id(F.coalesce("k.check_id", F.lit("")), F.concat_ws("_", "category_id", F.col("check_pos") + 1))
+    return stats.capped_checks(checks.withColumn("description", said).filter("description <> ''").select("rec_id", "cat_pos", "category_id", "check_pos", given.alias("check_id"), "description"), cap)
 
 
 def once_for_each(rows: DataFrame, prompt: Column, client: Client, pause: float = FIRST_PAUSE) -> DataFrame:
@@ -146,7 +160,10 @@ def project_judgement(checks: DataFrame, judged: DataFrame) -> DataFrame:
 
 
 def checklist_scores(rows: DataFrame, client: Client, judge: Client | None = None, pause: float = FIRST_PAUSE) -> DataFrame:
-    """rec_id, isr, csr and counts: a checklist for each question, judged against the trajectory."""
+    """rec_id, isr, csr, counts and error of every record: a checklist for its question, judged against the trajectory.
+
+    A record whose list or judgement failed has nulls and the error.
+    """
     q, _ = question(F.col("messages"))
     ask_list = F.concat(F.lit("Write a checklist of yes/no checks for judging how well an agent solves this task. Answer with JSON only: {\"categories\": [{\"category_id\", \"description\", \"checks\": [{\"check_id\", \"description\", \"check_type\", \"required_evidence\"}]}]}.\nTask:\n"), q, F.lit("\nSystem prompt:\n"), system_text(F.col("messages")), F.lit("\nTools:\n"), tools_summary(F.col("tools")))
     listed = once_for_each(rows.select("rec_id", "tools", "messages"), ask_list, client, pause)
@@ -154,5 +171,10 @@ def checklist_scores(rows: DataFrame, client: Client, judge: Client | None = Non
     lists = checks.groupBy("rec_id").agg(F.to_json(F.array_sort(F.collect_list(F.struct("cat_pos", "check_pos", "category_id", "check_id", "description")))).alias("checks"))
     prompt = F.concat(F.lit("Judge each check against the trajectory. Answer with JSON only: {\"judgements\": [{\"category_id\", \"check_id\", \"status\", \"score\", \"reasoning\", \"evidence\": []}]}.\nChecks:\n"), F.col("checks"), F.lit("\n\n"), trajectory_text(F.col("tools"), F.col("messages")))
     judged = listed.select("rec_id", "tools", "messages").join(lists, "rec_id").select("rec_id", answers(prompt, judge or client, pause=pause).alias("a"))
-    items = judged.select("rec_id", F.explode(F.from_json(text.fenced_json(F.col("a.answer")), "struct<judgements:array<struct<category_id:string,check_id:string,status:string,score:string,reasoning:string,evidence:array<string>>>>")["judgements"]).alias("j")).select("rec_id", "j.*")
-    return stats.checklist_rewards(project_judgement(checks, items).select("rec_id", "category_id", "score"))
+    items = "struct<judgements:array<struct<category_id:string,check_id:string,status:string,score:string,reasoning:string,evidence:array<string>>>>"
+    judged = judged.withColumn("j", F.from_json(text.fenced_json(F.col("a.answer")), items)["judgements"])
+    scored = stats.checklist_rewards(project_judgement(checks, judged.select("rec_id", F.explode("j").alias("j")).select("rec_id", "j.*")).select("rec_id", "category_id", "score"))
+    good = judged.filter("j IS NOT NULL").select("rec_id")
+    told = judged.select("rec_id", F.coalesce("a.error", F.when(F.col("j").isNull(), "judgement is no JSON object")).alias("judge_error"), F.lit(True).alias("asked"))
+    error = F.coalesce("error", F.when(F.col("asked").isNull(), "no checks in the answer"), "judge_error")
+    return listed.select("rec_id", "error").join(told, "rec_id", "left").select("rec_id", error.alias("error")).join(scored.join(good, "rec_id", "left_semi"), "rec_id", "left").select("rec_id", *(c for c in scored.columns if c != "rec_id"), "error")

@@ -119,13 +119,25 @@ def psn() -> Column:
     def scopes(files: Column) -> Column:
         return F.transform(files, lambda x, i: F.size(F.array_distinct(F.flatten(F.slice(files, F.greatest(i - SCOPE + 2, F.lit(1)), F.least(i + 1, F.lit(SCOPE)))))))
 
-    def tau(signs: Column) -> Column:
-        total = _count(signs, lambda s: s != 0)
-        return F.when(total == 0, 0.5).otherwise((1 - F.aggregate(signs, F.lit(0.0), lambda a, s: a + s) / total) / 2)
+    def tau(counts: Column) -> Column:
+        total = counts["up"] + counts["down"]
+        return F.when(total == 0, 0.5).otherwise((1 - (counts["up"] - counts["down"]) / total) / 2)
 
     def falling(late: Column) -> Column:
-        signs = F.flatten(F.transform(late, lambda x, i: F.transform(F.slice(late, i + 2, F.size(late)), lambda y: F.signum((y - x).cast("double")))))
-        return F.when(F.size(late) >= 3, _let(signs, tau))
+        """Pairs that rise and fall, from how often each of the few sizes came before."""
+
+        def counts(sizes: Column) -> Column:
+            none = F.lit(0).cast("bigint")
+            state = F.struct(F.transform(sizes, lambda s: none).alias("seen"), none.alias("up"), none.alias("down"))
+            of = lambda seen, fits: F.aggregate(F.transform(seen, lambda n, k: F.when(fits(F.get(sizes, k)), n).otherwise(none)), none, lambda a, n: a + n)
+
+            def step(acc: Column, x: Column) -> Column:
+                seen = F.transform(acc["seen"], lambda n, k: F.when(F.get(sizes, k) == x, n + 1).otherwise(n))
+                return F.struct(seen.alias("seen"), (acc["up"] + of(acc["seen"], lambda s: s < x)).alias("up"), (acc["down"] + of(acc["seen"], lambda s: s > x)).alias("down"))
+
+            return F.aggregate(late, state, step)
+
+        return F.when(F.size(late) >= 3, _let(_let(F.array_distinct(late), counts), tau))
 
     late = _let(_let(_field("turns", "files"), scopes), lambda scope: F.slice(scope, F.floor(F.size(scope) / 2).cast("int") + 1, F.size(scope)))
     return F.when(F.size("turns") >= 2 * SCOPE, _let(late, falling))

@@ -102,7 +102,9 @@ def steps(trajectories: DataFrame) -> DataFrame:
     rows = rows.withColumn("window", F.when(F.col("role").isin("tool", "user"), text.scan_window(F.col("content"))))
     rows = rows.withColumn("t2_done", F.lower(F.col("typed.task_complete")) == "true").drop("typed", "tool_calls")
     w = Window.partitionBy("rec_id").orderBy("msg_idx")
-    before, after = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+    # what follows is read as what comes before in the reverse order: a frame to the end would be computed again for each row
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy("rec_id").orderBy(F.col("msg_idx").desc()).rowsBetween(Window.unboundedPreceding, -1)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     t2 = F.col("scaffold") == T2
     rows = rows.withColumns(
@@ -111,10 +113,10 @@ def steps(trajectories: DataFrame) -> DataFrame:
             "asst_idx": F.last(F.when(is_assistant, F.col("msg_idx")), ignorenulls=True).over(before),
             "answered": F.last(F.when(is_assistant, F.col("calls")), ignorenulls=True).over(before),
             "tools_so_far": F.sum(F.when(F.col("role") == "tool", 1).otherwise(0)).over(upto),
-            "next_call": F.first(F.when(F.size(_named(F.col("calls"))) > 0, F.get(_named(F.col("calls")), F.lit(0))), ignorenulls=True).over(after),
-            "next_files": F.first(F.when(F.size(_named(F.col("calls"))) > 0, action_files(F.col("calls"), F.get(_named(F.col("calls")), F.lit(0)), t2)), ignorenulls=True).over(after),
+            "next_call": F.last(F.when(F.size(_named(F.col("calls"))) > 0, F.get(_named(F.col("calls")), F.lit(0))), ignorenulls=True).over(after),
+            "next_files": F.last(F.when(F.size(_named(F.col("calls"))) > 0, action_files(F.col("calls"), F.get(_named(F.col("calls")), F.lit(0)), t2)), ignorenulls=True).over(after),
             "is_obs": F.when(t2, (F.col("role") == "user") & (F.lag("role").over(w) == "assistant")).otherwise(F.col("role") == "tool"),
-            "next_user": F.first(F.when(F.col("role") == "user", F.col("window")), ignorenulls=True).over(after),
+            "next_user": F.last(F.when(F.col("role") == "user", F.col("window")), ignorenulls=True).over(after),
         }
     )
     rows = rows.withColumn("tools_at_turn", F.last(F.when(is_assistant, F.col("tools_so_far")), ignorenulls=True).over(before))

@@ -35,10 +35,10 @@ def tool_calls_valid(messages: Column) -> Column:
 
 
 def reasoning_valid(messages: Column, think_mode: Column, mode: str = "adaptive", threshold: float = 0.2, from_message: Column | int = 0) -> Column:
-    """Fast records pass; else the share of assistant messages with reasoning reaches the threshold (strict: all)."""
+    """Fast records pass; else the share of assistant messages with reasoning, blank or not, reaches the threshold (strict: all)."""
     start = from_message if isinstance(from_message, Column) else F.lit(from_message)
     later = F.filter(messages, lambda m, i: (m["role"] == "assistant") & (i >= start))
-    with_it = F.size(F.filter(later, lambda m: F.coalesce(F.trim(m["reasoning_content"]), F.lit("")) != ""))
+    with_it = F.size(F.filter(later, lambda m: F.coalesce(m["reasoning_content"], F.lit("")) != ""))
     enough = with_it == F.size(later) if mode == "strict" else (F.size(later) == 0) | (with_it / F.size(later) >= threshold)
     return (think_mode == "fast") | enough
 
@@ -67,6 +67,12 @@ def without_repos(rows: DataFrame, repos: DataFrame, instance: str = "_instance_
     return rows.withColumn("__key", repo_key(F.col(instance))).join(keys, "__key", "left_anti").drop("__key")
 
 
+def repo_of_path(path: Column) -> Column:
+    """`owner__repo` of a file path: of the first folder that is named like an instance, else empty."""
+    parts = F.filter(F.transform(F.split(path, "/"), repo_key), lambda k: k != "")
+    return F.coalesce(F.get(parts, F.lit(0)), F.lit(""))
+
+
 def first_kept(rows: DataFrame, n: int, order: str, kept: Column) -> DataFrame:
     """The first n kept rows in an order, which should be total; n of 0 or less means all."""
     kept_rows = rows.filter(kept)

@@ -130,6 +130,10 @@ def declared_order(tools: Any) -> Order:
     return out
 
 
+#: Errors that flows count on their own.
+NO_CHOICES, NO_TURNS = "no choices", "no user or no assistant message"
+
+
 # ---- block messages ----
 
 
@@ -211,7 +215,7 @@ def sdk_logged(record: dict) -> list[dict]:
     """A logged record of plain messages: first text block, calls, and the first choice; without one it is an error."""
     final = _choice(record.get("response_body") or {})
     if not final:
-        raise ValueError("no choices")
+        raise ValueError(NO_CHOICES)
     out = []
     for m in [*((record.get("request_body") or {}).get("messages") or []), final]:
         calls = [{"id": c.get("id"), "type": "function", "function": {"name": (c.get("function") or {}).get("name") or "", "arguments": arguments((c.get("function") or {}).get("arguments"), None)}} for c in m.get("tool_calls") or []]
@@ -338,7 +342,7 @@ def recorded(record: dict) -> list[dict]:
     while out and out[-1]["role"] == "user":
         out.pop()
     if {m["role"] for m in out} != {"user", "assistant"}:
-        raise ValueError("no user or no assistant message")
+        raise ValueError(NO_TURNS)
     return out
 
 

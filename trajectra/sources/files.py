@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 import tomllib
 from collections.abc import Iterator
 
@@ -14,12 +15,12 @@ from trajectra import schema
 from trajectra.functions import text
 
 
-def lines(spark: SparkSession, *paths: str) -> DataFrame:
+def lines(spark: SparkSession, *paths: str, **options) -> DataFrame:
     """file_path, line_no (from 1, blank lines left out) and raw of text files, in the files' order.
 
     Files are split between tasks as usual; only the order within one file is ranked.
     """
-    raw = spark.read.text([*paths]).select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("raw"))
+    raw = spark.read.options(**options).text([*paths]).select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("raw"))
     order = Window.partitionBy("file_path").orderBy("block", "at")
     return raw.filter(text.strip(F.col("raw")) != "").withColumn("line_no", F.row_number().over(order).cast("bigint")).select("file_path", "line_no", "raw")
 
@@ -27,8 +28,11 @@ def lines(spark: SparkSession, *paths: str) -> DataFrame:
 def json_lines(spark: SparkSession, *paths: str, strict: bool = False) -> DataFrame:
     """lines() that hold JSON; others are left out, or with ``strict`` fail the query."""
     rows = lines(spark, *paths)
-    good = F.try_parse_json("raw").isNotNull()
-    return rows.withColumn("raw", F.when(good, F.col("raw")).otherwise(F.raise_error(F.concat(F.lit("malformed JSON in "), "file_path")))) if strict else rows.filter(good)
+    return _strict(rows) if strict else rows.filter(F.try_parse_json("raw").isNotNull())
+
+
+def _strict(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("raw", F.when(F.try_parse_json("raw").isNotNull(), F.col("raw")).otherwise(F.raise_error(F.concat(F.lit("malformed JSON in "), "file_path"))))
 
 
 def json_documents(spark: SparkSession, *paths: str) -> DataFrame:
@@ -41,8 +45,13 @@ LIFTED = ("_instance_id", "_agent_type", "_score", "_gen_params", "_usage", "_in
 
 
 def trajectories(rows: DataFrame) -> DataFrame:
-    """Trajectories from JSON records (file_path, line_no, raw) in the normalised form, nested fields lifted."""
-    lift = {k: F.coalesce(F.get_json_object("raw", f"$.{k}"), F.get_json_object("raw", f"$.meta_info.unique_info.{k}")) for k in LIFTED}
+    """Trajectories from JSON records (file_path, line_no, raw) in the normalised form.
+
+    A nested field is lifted only where the record has no such key at its top; a null there counts.
+    """
+    has = lambda k: F.array_contains("top", k)
+    lift = {k: F.when(has(k), F.get_json_object("raw", f"$.{k}")).otherwise(F.get_json_object("raw", f"$.meta_info.unique_info.{k}")) for k in LIFTED}
+    rows = rows.withColumn("top", F.coalesce(F.json_object_keys("raw"), F.expr("CAST(array() AS array<string>)")))
     parsed = F.from_json("raw", f"struct<tools:array<{schema.TOOL}>,messages:array<{schema.MESSAGE}>>")
     return rows.withColumn("p", parsed).select(F.concat_ws("#", "file_path", "line_no").alias("rec_id"), F.col("line_no").alias("rec_pos"), *(c.alias(k) for k, c in lift.items()), F.col("p.tools").alias("tools"), F.col("p.messages").alias("messages"))
 
@@ -77,7 +86,8 @@ def trial_tasks(configs: DataFrame) -> DataFrame:
     folder = F.element_at(F.split("file_path", "/"), -2)
     base = F.regexp_replace("file_path", "/[^/]*$", "")
     path = F.get_json_object("raw", "$.task.path")
-    full = F.when(path.startswith("/"), path).otherwise(F.concat_ws("/", base, path))
+    home = F.lit(os.path.expanduser("~"))
+    full = F.when(path.rlike("^~(/|$)"), F.concat(home, F.substring(path, F.lit(2), F.length(path)))).when(path.startswith("/"), path).otherwise(F.concat_ws("/", base, path))
     ok = text.strip(F.coalesce(path, F.lit(""))) != ""
     return configs.select(folder.alias("folder"), F.when(ok, full).alias("task_dir"), F.when(ok, F.element_at(F.split(F.regexp_replace(full, "/+$", ""), "/"), -1)).alias("instance_id"))
 
@@ -113,6 +123,32 @@ def with_metadata(rows: DataFrame, metadata: DataFrame, key: str = "_instance_id
 # ---- sessions, step files, last records ----
 
 
+def session_files(spark: SparkSession, root: str) -> list[str]:
+    """Session files below a root, sorted: those in job folders' session projects, or without any those in the root itself."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for pattern in ("*/agent/sessions/projects/-testbed/*.jsonl", "*.jsonl"):
+        at = path(f"{root.rstrip('/')}/{pattern}")
+        found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+        if found:
+            return sorted(f.getPath().toString() for f in found)
+    return []
+
+
+def conversation_files(spark: SparkSession, root: str) -> DataFrame:
+    """Lines (file_path, line_no, raw) of every conversations.jsonl below a root, at any depth; a malformed one fails the query."""
+    return _strict(lines(spark, root, recursiveFileLookup=True, pathGlobFilter="conversations.jsonl"))
+
+
+def tool_definitions(spark: SparkSession, path: str) -> list[dict]:
+    """A file's JSON list of tools, as functions with parameters (its small content comes to the driver)."""
+    raw = json.loads(json_documents(spark, path).first()["raw"])
+    out = []
+    for t in raw:
+        f = t.get("function") or t
+        out.append({"type": "function", "function": {"name": f.get("name", ""), "description": f.get("description", ""), "parameters": f.get("parameters") or f.get("input_schema") or {}}})
+    return out
+
+
 def session_instance(file_path: Column, root: str) -> Column:
     """First folder below the root, or the file's stem if it lies in the root itself."""
     inner = F.regexp_replace(F.replace(file_path, F.lit(root.rstrip("/") + "/"), F.lit("")), "^/+", "")

@@ -23,7 +23,30 @@ def write_jsonl(records: DataFrame, path: str, order: str | None = None, single:
     (rows.select("value").coalesce(1) if single else rows.select("value")).write.mode("overwrite").text(path)
 
 
-def write_pending(scored: DataFrame, path: str, key: str = "rec_id") -> None:
+def write_list(records: DataFrame, path: str, order: str, statistics: str | None = None) -> None:
+    """One JSON list in a folder's single file, in an order, and beside it ``<path>.stats.json`` with the statistics.
+
+    Only for results that fit one task; larger ones are better written by write_jsonl().
+    """
+    rows = records.select(order, F.to_json(F.struct(*(c for c in records.columns if c != order))).alias("value")).orderBy(order).select("value").coalesce(1)
+
+    def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = "["
+        for batch in batches:
+            out = []
+            for v in batch.column(0).to_pylist():
+                out.append(before + "\n" + json.dumps(json.loads(v), ensure_ascii=False, indent=4))
+                before = ","
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if before == "[" else "]"])], ["value"])
+
+    # the comma that separates two records begins the second one's line
+    rows.mapInArrow(bracketed, "value string").write.mode("overwrite").text(path)
+    if statistics is not None:
+        records.sparkSession.createDataFrame([(statistics,)], "value string").coalesce(1).write.mode("overwrite").text(path.rstrip("/") + ".stats.json")
+
+
+def write_pending(scored: DataFrame, path: str) -> None:
     """Append scored rows to a Parquet folder; with pending(), a stopped run goes on where it ended."""
     scored.write.mode("append").parquet(path)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,7 +11,7 @@ from trajectra.sources.files import trajectories
 
 
 def watch_trajectories(spark: SparkSession, folder: str, files_per_batch: int = 100) -> DataFrame:
-    """A stream of JSON lines that appear in a folder."""
+    """A stream of JSON lines that appear in a folder; line_no is a line's hash, as a stream has no order."""
     raw = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(folder)
     return raw.select(F.col("_metadata.file_path").alias("file_path"), F.sha2("value", 256).alias("line_no"), F.col("value").alias("raw"))
 
@@ -19,8 +19,12 @@ def watch_trajectories(spark: SparkSession, folder: str, files_per_batch: int =
 def score_stream(rows: DataFrame, output: str, checkpoint: str, once: bool = True) -> StreamingQuery:
     """Appends scored records to a Parquet folder partitioned by batch, so a batch that runs again replaces its own rows."""
 
+    # a file comes whole in one batch, so equal lines of it can be numbered there
+    again = F.row_number().over(Window.partitionBy("file_path", "line_no").orderBy(F.lit(0)))
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        score(trajectories(batch).drop("rec_pos")).select("rec_id", "_score").write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
+        numbered = batch.withColumn("line_no", F.concat_ws("-", "line_no", again))
+        score(trajectories(numbered).drop("rec_pos")).select("rec_id", "_score").write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
 
     writer = rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
