@@ -75,25 +75,28 @@ def normal_forms(raw: Column) -> Column:
     return forms(raw)
 
 
-#: Characters by which prefixes are bucketed.
-KEY_CHARS = 64
-
-
 def dedup_prefix(rows: DataFrame, instance: str, position: str, text: str) -> DataFrame:
     """Rows whose text isn't the beginning of a later row's text of the same instance (of equal texts the last stays).
 
-    An equi-join on the instance and the first characters carries the prefix test; texts
-    shorter than that key are compared on a key of their own length, one for each length
-    that occurs, which are at most KEY_CHARS.
+    Hashes are joined, texts are not.  A text of n characters can only begin one that shares its first 2**k, the
+    greatest power of two in n: so each text asks, for each power of two within it, which lengths such texts have, and
+    hashes its own beginnings of these lengths.  The greatest position of each beginning then decides.  Positions are
+    unique in an instance; rows with a null instance, position or text stay.
     """
     base = rows.select(F.col(instance).alias("i"), F.col(position).alias("p"), F.col(text).alias("t"))
-    size = F.least(F.length("t"), F.lit(KEY_CHARS))
-    left = base.withColumn("n", size).withColumn("key", F.substring("t", 1, KEY_CHARS))
-    right = base.select("i", F.col("p").alias("p2"), F.col("t").alias("t2"), F.explode(F.sequence(F.lit(0), F.least(F.length("t"), F.lit(KEY_CHARS)))).alias("n2"))
-    lengths = left.select("i", "n").distinct().withColumnsRenamed({"i": "li", "n": "ln"})
-    right = right.join(lengths, (F.col("i") == F.col("li")) & (F.col("n2") == F.col("ln"))).select(F.col("i").alias("i2"), "p2", "t2", "n2", F.col("t2").substr(F.lit(1), F.col("n2")).alias("key2"))
-    gone = left.join(right, (F.col("i") == F.col("i2")) & (F.col("n") == F.col("n2")) & (F.col("key") == F.col("key2")) & (F.col("p2") > F.col("p")) & F.col("t2").startswith(F.col("t")), "left_semi")
-    dropped = gone.select(F.col("i").alias(instance), F.col("p").alias(position))
+    name = lambda t: [F.xxhash64(t).alias("h1"), F.xxhash64(F.lit(1), t).alias("h2")]
+    log = lambda n: F.floor(F.log2(n)).cast("int")  # noqa: E731  exact for lengths of strings
+    start = lambda t, k: F.when(k < 0, F.lit("")).otherwise(F.substring(t, F.lit(1), F.call_function("shiftleft", F.lit(1), F.greatest(k, F.lit(0)))))
+    n = F.length("t")
+    own = base.select("i", "p", n.alias("n"), *name(F.col("t")))
+    k = F.when(n > 0, log(n)).otherwise(-1)
+    lengths = base.select("i", k.alias("k"), F.xxhash64(start(F.col("t"), k)).alias("key"), n.alias("n")).distinct()
+    begun = F.transform(F.sequence(F.lit(-1), k), lambda j: F.struct(j.alias("k"), F.xxhash64(start(F.col("t"), j)).alias("key")))
+    asks = base.filter("t IS NOT NULL").select("i", "p", n.alias("longer"), F.inline(begun))
+    wanted = asks.join(lengths, ["i", "k", "key"]).filter("n < longer").groupBy("i", "p").agg(F.collect_set("n").alias("ns"))
+    proper = base.join(wanted, ["i", "p"]).select("i", "p", "t", F.explode("ns").alias("n")).select("i", "p", "n", *name(F.substring("t", F.lit(1), F.col("n"))))
+    last = own.select("i", "p", "n", "h1", "h2").unionByName(proper).groupBy("i", "n", "h1", "h2").agg(F.max("p").alias("last"))
+    dropped = own.join(last, ["i", "n", "h1", "h2"]).filter("p < last").select(F.col("i").alias(instance), F.col("p").alias(position))
     return rows.join(dropped, [instance, position], "left_anti")
 
 

@@ -253,13 +253,9 @@ def dedup_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.dedup_exact(table(spark, sf_dir, "documents"), "source", "doc_id", "text").select("doc_id")
 
 
-_CUT = "SELECT doc_id, source, CASE WHEN doc_id % 5 = 0 THEN left(text, 40) ELSE text END AS t FROM documents"
-
-
-@query(f"WITH d AS ({_CUT}) SELECT doc_id FROM d a WHERE NOT EXISTS (SELECT 1 FROM d b WHERE a.source = b.source AND b.doc_id > a.doc_id AND starts_with(b.t, a.t))")
+@query("SELECT doc_id FROM documents a WHERE NOT EXISTS (SELECT 1 FROM documents b WHERE a.source = b.source AND b.doc_id > a.doc_id AND starts_with(b.text, a.text))")
 def dedup_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").withColumn("t", F.when(F.col("doc_id") % 5 == 0, F.substring("text", 1, 40)).otherwise(F.col("text"))).select("doc_id", "source", "t")
-    return dedup.dedup_prefix(rows, "source", "doc_id", "t").select("doc_id")
+    return dedup.dedup_prefix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"), "source", "doc_id", "text").select("doc_id")
 
 
 @query("SELECT doc_id FROM documents WHERE len(string_split(text, chr(10))) > 2")
