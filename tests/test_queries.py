@@ -40,3 +40,22 @@ def test_score_is_one_exchange_after_the_input(spark):
     rows = event_trajectories(spark, DATA)
     count = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
     assert count(metrics.scores(relations.profiles(relations.steps(rows)))) <= count(rows) + 1
+
+
+def test_no_text_crosses_the_exchange_of_a_score(spark):
+    """Of messages, calls and signs of errors are shuffled, and at most 80 characters of an output."""
+    from trajectra.operators import metrics, relations
+    from trajectra.views import event_trajectories
+
+    base = spark.createDataFrame(event_trajectories(spark, DATA).limit(5).collect(), event_trajectories(spark, DATA).schema)
+    plan = metrics.scores(relations.profiles(relations.steps(base)))._jdf.queryExecution().executedPlan()
+    found, waiting = [], [plan]
+    while waiting:
+        p = waiting.pop()
+        if p.nodeName() == "AdaptiveSparkPlan":
+            p = p.initialPlan()
+        kids = p.children()
+        waiting += [kids.apply(i) for i in range(kids.size())]
+        if p.nodeName() == "Exchange":
+            found.append({p.output().apply(i).name() for i in range(p.output().size())})
+    assert len(found) == 1 and not found[0] & {"content", "reasoning", "window", "messages", "m", "thought", "tool_calls"} and "head" in found[0]

@@ -38,28 +38,34 @@ def scan_window(text: Column) -> Column:
     return F.when(F.length(clean) <= 2 * WINDOW, clean).otherwise(F.concat(F.substring(clean, 1, WINDOW), F.lit("\n"), aligned))
 
 
-def error_in(window: Column, is_test: Column | bool = False, is_execution: Column | bool = True) -> Column:
-    """is_error() for a text that scan_window() has made, best a column of its own."""
+def error_signs(window: Column) -> Column:
+    """struct<marked, hard, soft>: the signs of an error in a text that scan_window() has made, best a column of its own."""
+    return F.struct(any_match(window, P.TOOL_MARKERS).alias("marked"), any_match(window, P.HARD_ERRORS).alias("hard"), any_match(window, P.SOFT_ERRORS).alias("soft"))
+
+
+def error_by(signs: Column, is_test: Column | bool = False, is_execution: Column | bool = True) -> Column:
+    """is_error() by a text's signs."""
     col = lambda x: x if isinstance(x, Column) else F.lit(x)
-    command = any_match(window, P.HARD_ERRORS) | (~F.coalesce(col(is_test), F.lit(False)) & any_match(window, P.SOFT_ERRORS))
-    return any_match(window, P.TOOL_MARKERS) | (F.coalesce(col(is_execution), F.lit(False)) & command)
+    command = signs["hard"] | (~F.coalesce(col(is_test), F.lit(False)) & signs["soft"])
+    return signs["marked"] | (F.coalesce(col(is_execution), F.lit(False)) & command)
 
 
 def is_error(content: Column, is_test: Column | bool = False, is_execution: Column | bool = True) -> Column:
     """Whether tool output reports an error; of commands only, hard signs count, and soft ones unless it is a test run."""
-    return error_in(scan_window(content), is_test, is_execution)
+    return error_by(error_signs(scan_window(content)), is_test, is_execution)
 
 
-def outcome_in(window: Column) -> Column:
-    """test_outcome() for a text that scan_window() has made."""
+def outcome_in(window: Column, signs: Column | None = None) -> Column:
+    """test_outcome() for a text that scan_window() has made, and its signs where they are known."""
+    signs = error_signs(window) if signs is None else signs
     rules = (
-        (any_match(window, P.TOOL_MARKERS), "fail"),
-        (any_match(window, P.HARD_ERRORS), "fail"),
+        (signs["marked"], "fail"),
+        (signs["hard"], "fail"),
         (any_match(window, P.TEST_FAILED), "fail"),
         (window.rlike(P.NO_TESTS_RAN), "unknown"),
         (any_match(window, P.TEST_PASSED), "pass"),
         (F.regexp_replace(window, P.RUNTIME_TRAILER, "").rlike(P.ECHOED_ZERO), "pass"),
-        (any_match(window, P.SOFT_ERRORS), "fail"),
+        (signs["soft"], "fail"),
     )
     out = F.when(window == "", "unknown")
     for condition, outcome in rules:

@@ -99,7 +99,22 @@ def steps(trajectories: DataFrame) -> DataFrame:
     no_calls = F.expr(f"CAST(array() AS {_CALLS})")
     parsed = F.when(F.col("scaffold") == T2, _typed_commands(F.col("typed.commands"))).otherwise(_tool_calls(F.col("tool_calls")))
     rows = rows.withColumn("calls", F.when(is_assistant, F.coalesce(parsed, no_calls)))
-    rows = rows.withColumn("window", F.when(F.col("role").isin("tool", "user"), text.scan_window(F.col("content"))))
+    # what is read from texts is small and made before the exchange, which then carries no texts unless they are asked for
+    seen = (F.col("role") == "tool") | ((F.col("scaffold") == T2) & (F.col("role") == "user"))
+    rows = rows.withColumn("window", F.when(seen, text.scan_window(F.col("content"))))
+    rows = rows.withColumn("signs", F.when(seen, text.error_signs(F.col("window"))))
+    thought = F.lower(F.concat("reasoning", F.lit(" "), "content"))
+    rows = rows.withColumns(
+        {
+            "said": F.when(seen, text.outcome_in(F.col("window"), F.col("signs"))),
+            "head": F.when(seen, F.substring(text.strip_ansi(F.col("content")), 1, 80)),
+            "entropy": F.when(seen, text.char_entropy(F.col("content"))),
+            "base": F.when(is_assistant, text.summary_base(F.col("content"))),
+            "thought": F.when(is_assistant, thought),
+        }
+    ).drop("window")
+    says = F.struct((text.strip(F.col("thought")) != "").alias("thinks"), *(F.exists(F.array(*map(F.lit, words)), lambda word: F.col("thought").contains(word)).alias(kind) for kind, words in P.INTENT_WORDS.items()))
+    rows = rows.withColumn("says", F.when(is_assistant, says)).drop("thought")
     rows = rows.withColumn("t2_done", F.lower(F.col("typed.task_complete")) == "true").drop("typed", "tool_calls")
     w = Window.partitionBy("rec_id").orderBy("msg_idx")
     # what follows is read as what comes before in the reverse order: a frame to the end would be computed again for each row
@@ -116,7 +131,7 @@ def steps(trajectories: DataFrame) -> DataFrame:
             "next_call": F.last(F.when(F.size(_named(F.col("calls"))) > 0, F.get(_named(F.col("calls")), F.lit(0))), ignorenulls=True).over(after),
             "next_files": F.last(F.when(F.size(_named(F.col("calls"))) > 0, action_files(F.col("calls"), F.get(_named(F.col("calls")), F.lit(0)), t2)), ignorenulls=True).over(after),
             "is_obs": F.when(t2, (F.col("role") == "user") & (F.lag("role").over(w) == "assistant")).otherwise(F.col("role") == "tool"),
-            "next_user": F.last(F.when(F.col("role") == "user", F.col("window")), ignorenulls=True).over(after),
+            "next_said": F.last(F.when(F.col("role") == "user", F.col("said")), ignorenulls=True).over(after),
         }
     )
     rows = rows.withColumn("tools_at_turn", F.last(F.when(is_assistant, F.col("tools_so_far")), ignorenulls=True).over(before))
@@ -124,7 +139,7 @@ def steps(trajectories: DataFrame) -> DataFrame:
     rows = rows.withColumn("call", F.when(F.col("is_obs"), F.get("answered", F.col("pos"))))
     is_test = F.when(t2, F.exists(F.coalesce("answered", no_calls), lambda c: c["formal_test"])).otherwise(F.col("call.formal_test"))
     executes = t2 | F.coalesce("call.executes", F.lit(False))
-    return rows.withColumn("is_error", F.col("is_obs") & text.error_in(F.col("window"), is_test, executes)).drop("tools_so_far", "tools_at_turn")
+    return rows.withColumn("is_error", F.col("is_obs") & text.error_by(F.col("signs"), is_test, executes)).drop("tools_so_far", "tools_at_turn")
 
 
 def _named(calls: Column) -> Column:
@@ -163,13 +178,12 @@ def profiles(step_rows: DataFrame) -> DataFrame:
     calls = F.col("calls")
     step_files = F.array_distinct(F.flatten(F.transform(calls, lambda c: F.concat(F.when(c["target"].isNotNull() & ~t2, F.array(c["target"])).otherwise(F.expr(_NO_TEXTS)), c["edits"]))))
     edited = F.flatten(F.transform(calls, lambda c: F.when(c["writes"], F.when(c["target"].isNotNull(), F.array(c["target"])).otherwise(F.expr(_NO_TEXTS))).otherwise(c["edits"])))
-    thought = F.lower(F.concat("reasoning", F.lit(" "), "content"))
     kinds = F.filter(F.transform(calls, lambda c: c["kind"]), lambda k: ~k.isin("other", "think"))
     intent = F.when(t2, F.when(F.col("t2_done"), "submit").when(F.size(calls) > 0, "bash")).otherwise(F.get(kinds, F.lit(0)))
-    intent = F.when(text.strip(thought) != "", intent)
+    intent = F.when(F.col("says.thinks"), intent)
     says = F.lit(None).cast("boolean")
-    for kind, words in P.INTENT_WORDS.items():
-        says = F.when(intent == kind, F.exists(F.array(*map(F.lit, words)), lambda word: thought.contains(word))).otherwise(says)
+    for kind in P.INTENT_WORDS:
+        says = F.when(intent == kind, F.col(f"says.{kind}")).otherwise(says)
     writes = lambda c: c["writes"] | (F.size(c["edits"]) > 0)
     test_file = lambda c: (c["writes"] & shell.is_test_file(c["path"])) | F.exists(c["raw_edits"], shell.is_test_file)
     verify = F.transform(
@@ -186,7 +200,7 @@ def profiles(step_rows: DataFrame) -> DataFrame:
         F.exists(calls, test_file).alias("test_write"),
         verify.alias("verify"),
         F.size(calls).alias("n_calls"),
-        F.when(t2, F.coalesce(text.outcome_in(F.col("next_user")), F.lit("unknown"))).alias("t2_outcome"),
+        F.when(t2, F.coalesce("next_said", F.lit("unknown"))).alias("t2_outcome"),
     )
     current = F.coalesce(F.get(_named(F.col("answered")), F.col("pos")), F.get(_named(F.col("answered")), F.lit(0)))
     nearby = F.size(F.array_union(action_files(F.col("answered"), current, t2), F.col("next_files")))
@@ -200,14 +214,14 @@ def profiles(step_rows: DataFrame) -> DataFrame:
         "pos",
         "turn",
         "is_error",
-        F.when(F.col("is_error"), F.substring(text.strip_ansi(F.col("content")), 1, 80)).alias("signature"),
-        text.char_entropy(F.col("content")).alias("entropy"),
+        F.when(F.col("is_error"), F.col("head")).alias("signature"),
+        "entropy",
         reaction.alias("reaction"),
         (F.coalesce(wrote, F.lit(False)) & ~F.col("is_error")).alias("wrote"),
-        F.when(F.col("call.test_run") & ~t2, text.outcome_in(F.col("window"))).alias("outcome"),
+        F.when(F.col("call.test_run") & ~t2, F.col("said")).alias("outcome"),
         F.greatest(F.size("answered"), F.lit(1)).alias("weight"),
     )
-    closing = F.struct("role", F.coalesce(F.size("calls"), F.lit(0)).alias("n_calls"), F.when(F.col("role") == "assistant", text.summary_base(F.col("content"))).alias("base"))
+    closing = F.struct("role", F.coalesce(F.size("calls"), F.lit(0)).alias("n_calls"), "base")
     final = F.struct(F.exists(calls, lambda c: c["name"] == "finish").alias("finished"), F.coalesce("t2_done", F.lit(False)).alias("t2_done"))
     small = step_rows.select("rec_id", F.col("scaffold").alias("by"), F.col("msg_idx").alias("at"), is_assistant.alias("acts"), F.when(is_assistant, turn).alias("t"), F.when(F.col("is_obs"), obs).alias("o"), closing.alias("c"), F.when(is_assistant, final).alias("f"))
     return small.groupBy("rec_id").agg(

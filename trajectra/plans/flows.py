@@ -14,10 +14,10 @@ from trajectra.sources import convert, files
 
 
 def score(trajectories: DataFrame, canonical: bool = True) -> DataFrame:
-    """Trajectories with _score; subagents stay, without one.  An earlier score is replaced."""
+    """Trajectories with _score; subagents stay, without one.  An earlier score is replaced; a column scaffold is believed."""
     rows = trajectories.drop("_score")
     kinds = rows.withColumn("__kind", F.coalesce("_agent_type", normalize.agent_type(F.col("tools")))) if "_agent_type" in rows.columns else rows.withColumn("__kind", normalize.agent_type(F.col("tools")))
-    main = kinds.filter("__kind <> 'subagent'").select("rec_id", "tools", "messages")
+    main = kinds.filter("__kind <> 'subagent'").select("rec_id", "tools", "messages", *(["scaffold"] if "scaffold" in rows.columns else []))
     scored = metrics.score_trajectories(normalize.canonicalize(main) if canonical else main)
     fields = [c for c in scored.columns if c != "rec_id"]
     return rows.join(scored.select("rec_id", F.struct(*fields).alias("_score")), "rec_id", "left")
