@@ -596,14 +596,22 @@ def brute_hits(texts, items):
         k = min(8, len(w))
         for i in range(len(w) - k + 1) if k else ():
             windows[tuple(w[i : i + k])].add(name)
+    words = [ALNUM_WORD.findall(lower(t or "")) for name, t in items if name is not None]
     for t in texts:
-        w, hit, found = ALNUM_WORD.findall(lower(t or "")), set(), set()
+        w, hit, found, best = ALNUM_WORD.findall(lower(t or "")), set(), set(), (0, None)
         for k in {len(x) for x in windows}:
             for i in range(len(w) - k + 1):
                 if names := windows.get(tuple(w[i : i + k])):
                     found |= names
                     hit |= set(range(i, i + k))
-        yield len(w), len(hit), sorted(map(str, found))
+                    for x in words:
+                        for j in range(len(x) - k + 1) if k == min(8, len(x)) else ():
+                            if x[j : j + k] == w[i : i + k]:
+                                n = k
+                                while i + n < len(w) and j + n < len(x) and w[i + n] == x[j + n]:
+                                    n += 1
+                                best = (n, i) if n > best[0] or n == best[0] and i < best[1] else best
+        yield len(w), len(hit), sorted(map(str, found)), *best
 
 
 @pytest.mark.parametrize("block", [decontam.BLOCK_CHARS, 400])
@@ -615,9 +623,9 @@ def test_decontamination(spark, block):
     docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, n_items long")
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = collected(decontam.contamination(docs, bench, block_chars=block))
-    for i, (n, hit, names) in enumerate(brute_hits(texts, items)):
+    for i, (n, hit, names, longest, at) in enumerate(brute_hits(texts, items)):
         r = got[i][0]
-        assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (n, hit, len(names), len(names) >= 2), i
+        assert (r.n_words, r.n_hit, r.n_items, r.contaminated, r.longest, r.longest_at) == (n, hit, len(names), len(names) >= 2, longest, at), i
         assert r.items_sha256 == hashlib.sha256(",".join(names).encode()).hexdigest()
     assert decontam.contamination(docs, bench.limit(0)).filter("n_hit > 0").count() == 0
     assert decontam.contamination(docs.limit(0), bench).count() == 0

@@ -157,7 +157,7 @@ def _shards(texts: pa.Array, bench: Benchmark):
 
 
 def _hits(texts: pa.Array, bench: Benchmark):
-    """For each document: words, hit flags of its words, names of the items found, and its longest match."""
+    """For each document: words, hit flags of its words, names of the items found, its longest match and the word at which it first begins (-1: none)."""
     item, _, _ = bench.queries()
     for g, w, ids, at in _shards(texts, bench):
         query, position, length, need = search(ids, bench)
@@ -171,22 +171,25 @@ def _hits(texts: pa.Array, bench: Benchmark):
         found: dict[int, list[str]] = {}
         for p in pairs.tolist():
             found.setdefault(p // len(bench.names), []).append(bench.names[p % len(bench.names)])
-        longest = np.zeros(g.n, np.int64)
-        np.maximum.at(longest, doc_of, length)
+        longest, begins = np.zeros(g.n, np.int64), np.full(g.n, -1, np.int64)
+        best = np.lexsort((position, -length, doc_of))
+        which, first = np.unique(doc_of[best], return_index=True)
+        longest[which] = length[best[first]]
+        begins[which] = position[best[first]] - w.first[which] - which
         for k in range(g.n):
-            yield int(n_words[k]), hit[w.first[k] : w.first[k + 1]], sorted(set(found.get(k, ()))), int(longest[k])
+            yield int(n_words[k]), hit[w.first[k] : w.first[k + 1]], sorted(set(found.get(k, ()))), int(longest[k]), int(begins[k])
 
 
-_FOUND = "struct<n_words:bigint,hits:binary,items:array<string>,longest:bigint>"
+_FOUND = "struct<n_words:bigint,hits:binary,items:array<string>,longest:bigint,longest_at:bigint>"
 
 
 def _scan_column(bench: Benchmark):
     @F.arrow_udf(_FOUND)
     def scan(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            rows = [(n, np.packbits(h).tobytes() if h.any() else b"", i, m) for n, h, i, m in _hits(texts, bench)]
-            kinds = (pa.int64(), pa.binary(), pa.list_(pa.string()), pa.int64())
-            yield pa.StructArray.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)], ["n_words", "hits", "items", "longest"])
+            rows = [(n, np.packbits(h).tobytes() if h.any() else b"", *more) for n, h, *more in _hits(texts, bench)]
+            kinds = (pa.int64(), pa.binary(), pa.list_(pa.string()), pa.int64(), pa.int64())
+            yield pa.StructArray.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(kinds)], ["n_words", "hits", "items", "longest", "longest_at"])
 
     return scan
 
@@ -209,7 +212,10 @@ def _either(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
 
 
 def with_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", column: str = "found", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """All columns of docs and ``column``: struct<n_words, hits (bit per word), items (ids as strings), longest>.
+    """All columns of docs and ``column``: struct<n_words, hits (bit per word), items (ids as strings), longest, longest_at>.
+
+    longest is the number of words of the longest verbatim match of a window or more, longest_at the word (from 0) at which the
+    first such match begins, -1 without one.  Repeated rows and clashing columns stay as they are.
 
     A window is ``window`` consecutive item words, or all words of a shorter item.
     Items of null text or id, or without words, match nothing; a null text has no
@@ -227,16 +233,16 @@ def with_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", colu
         out = out.withColumn(one, _scan_column(bench)(F.col(text)))
         if k:
             a, b = F.col(column), F.col(one)
-            merged = F.struct(a["n_words"].alias("n_words"), F.arrow_udf(_either, "binary")(a["hits"], b["hits"]).alias("hits"), F.array_union(a["items"], b["items"]).alias("items"), F.greatest(a["longest"], b["longest"]).alias("longest"))
+            merged = F.struct(a["n_words"].alias("n_words"), F.arrow_udf(_either, "binary")(a["hits"], b["hits"]).alias("hits"), F.array_union(a["items"], b["items"]).alias("items"), F.greatest(a["longest"], b["longest"]).alias("longest"), F.when((a["longest"] > b["longest"]) | ((a["longest"] == b["longest"]) & (a["longest_at"] <= b["longest_at"])), a["longest_at"]).otherwise(b["longest_at"]).alias("longest_at"))
             out = out.withColumn(column, merged).drop(one)
     return out
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", min_items: int = 2, **options) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated (n_items >= min_items) and longest, for every row."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated (n_items >= min_items), longest and longest_at (null without a match), for every row."""
     found = with_matches(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), benchmark, **options)
-    out = found.select("doc_id", "found.n_words", "found.longest", F.arrow_udf(_summary, "struct<n_hit:bigint,n_items:bigint,items_sha256:string>")(F.col("found.hits"), F.col("found.items")).alias("s"))
-    return out.select("doc_id", "n_words", "s.n_hit", "s.n_items", "s.items_sha256", (F.col("s.n_items") >= min_items).alias("contaminated"), "longest")
+    out = found.select("doc_id", "found.n_words", "found.longest", F.nullif("found.longest_at", F.lit(-1)).alias("longest_at"), F.arrow_udf(_summary, "struct<n_hit:bigint,n_items:bigint,items_sha256:string>")(F.col("found.hits"), F.col("found.items")).alias("s"))
+    return out.select("doc_id", "n_words", "s.n_hit", "s.n_items", "s.items_sha256", (F.col("s.n_items") >= min_items).alias("contaminated"), "longest", "longest_at")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:

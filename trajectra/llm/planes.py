@@ -15,6 +15,7 @@ found by division and read without the rest of the file.
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,9 +52,7 @@ class Writer:
         self.at, self.n_ids = 0, 0
         self.blocks: list[tuple[int, int]] = []
         self.frames: list[int] = []
-        self.docs: list[int] = []
-        self.nulls: list[bool] = []
-        self.tokens: list[int] = []
+        self.docs, self.nulls, self.tokens = array("q"), bytearray(), array("Q")
         self.waiting: list[bytes] = []
         self.n_waiting = 0
         self._write(_HEAD.pack(MAGIC, VERSION, planes, 0, block_ids))
@@ -92,7 +91,7 @@ class Writer:
         ns, offsets = (np.array([b[k] for b in self.blocks], t) for k, t in ((0, "<u4"), (1, "<u8")))
         self._write(self.zstd.compress(ns.tobytes() + offsets.tobytes() + np.array(self.frames, "<u4").tobytes()))
         docs_at = self.at
-        self._write(self.zstd.compress(np.array(self.docs, "<i8").tobytes() + np.array(self.nulls, np.uint8).tobytes() + np.array(self.tokens, "<u8").tobytes()))
+        self._write(self.zstd.compress(np.array(self.docs, "<i8").tobytes() + bytes(self.nulls) + np.array(self.tokens, "<u8").tobytes()))
         self._write(_FOOT.pack(index_at, docs_at, len(self.docs), self.n_ids, MAGIC))
 
 

@@ -42,7 +42,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("longest")
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,13 +60,15 @@ _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abc
 #: Queries that DuckDB can express over whole tables.
 ORACLES: dict[str, str] = {
     "op8_decontamination": f"""WITH i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
-iw AS (SELECT DISTINCT item_id, k, array_to_string(w[p:p + k - 1], ' ') AS key FROM (SELECT item_id, w, least(8, len(w)) AS k, unnest(range(1, len(w) - least(8, len(w)) + 2)) AS p FROM i WHERE len(w) > 0)),
+iw AS (SELECT item_id, k, p AS ip, array_to_string(w[p:p + k - 1], ' ') AS key FROM (SELECT item_id, w, least(8, len(w)) AS k, unnest(range(1, len(w) - least(8, len(w)) + 2)) AS p FROM i WHERE len(w) > 0)),
 d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
 s AS (SELECT DISTINCT k FROM iw),
 dw AS (SELECT doc_id, k, p, array_to_string(w[p:p + k - 1], ' ') AS key FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, s WHERE len(w) >= k)),
-m AS (SELECT doc_id, dw.k AS k, p, item_id FROM dw JOIN iw ON dw.k = iw.k AND dw.key = iw.key),
+m AS (SELECT doc_id, dw.k AS k, p, item_id, ip FROM dw JOIN iw ON dw.k = iw.k AND dw.key = iw.key),
+r AS (SELECT doc_id, min(p) AS begins, count(*) + min(k) - 1 AS words FROM (SELECT *, p - row_number() OVER (PARTITION BY doc_id, item_id, k, p - ip ORDER BY p) AS run FROM m) GROUP BY doc_id, item_id, k, p - ip, run),
+b AS (SELECT doc_id, max(words) AS longest, arg_min(begins, (-words, begins)) - 1 AS longest_at FROM r GROUP BY doc_id),
 h AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM m) GROUP BY doc_id),
 n AS (SELECT doc_id, count(*) AS c, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM m) GROUP BY doc_id)
-SELECT d.doc_id, len(w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(c, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(c, 0) >= 2 AS contaminated
-FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN n ON d.doc_id = n.doc_id""",
+SELECT d.doc_id, len(w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(c, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(c, 0) >= 2 AS contaminated, coalesce(longest, 0) AS longest, longest_at
+FROM d LEFT JOIN h ON d.doc_id = h.doc_id LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN b ON d.doc_id = b.doc_id""",
 }

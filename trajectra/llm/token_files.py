@@ -85,8 +85,8 @@ def coder(path: str) -> WordCoder:
 def write_token_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int | None = 1, plane_count: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Tokenize, order by doc_id over all files, and write one file for each range of ids.
 
-    A null text is an empty one; null ids come first; rows of equal id are ordered by
-    text, and repeated rows are all written.  An executor's loss only repeats its
+    A null text is an empty one; null ids come first; rows of equal id are ordered by their texts' hashes, over several files
+    if they are many, and repeated rows are all written.  An empty table gives no files; other columns aren't read.  An executor's loss only repeats its
     files: a file appears under its name by a rename when complete, with the same
     content each time.  Returns the manifest: part, path, n_docs, n_ids, start.
     """
@@ -120,7 +120,8 @@ def write_token_files(docs: DataFrame, vocabulary: str, folder: str, end_id: int
         else:
             store.delete_file(half)
 
-    ordered = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("text").asc_nulls_first())
+    order = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
+    ordered = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).repartitionByRange(*order).sortWithinPartitions(*order)
     files = cut(ordered.mapInArrow(write, "part int, path string, n_docs bigint, n_ids bigint"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0).cast("bigint")))
@@ -155,7 +156,10 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def token_file_digest(spark: SparkSession, docs: DataFrame, vocabulary: str, end_id: int = 1) -> DataFrame:
-    """Write all documents to a new folder of the shared directory and read the files back."""
+    """Write all documents to a new folder of the shared directory, read the files back, and remove them."""
     folder = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
     folder = folder if "://" in folder else f"file://{folder}" if folder.startswith("/") else folder.replace("file:/", "file:///", 1)
-    return read_token_files(write_token_files(docs, vocabulary, folder, end_id), folder)
+    found = cut(read_token_files(write_token_files(docs, vocabulary, folder, end_id), folder))
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return found
