@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+import trajectra.queries_records  # noqa: F401
 from trajectra.queries import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"

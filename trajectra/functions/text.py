@@ -16,6 +16,11 @@ def any_match(text: Column, patterns: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a | b, (text.rlike(p) for p in patterns))
 
 
+def once(value: Column, use) -> Column:
+    """use(value) with the value computed once, however often the result names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Without white space, of any kind, on both ends."""
     return F.regexp_replace(text, r"(?U)^\s++|\s++$", "")
@@ -52,7 +57,7 @@ def error_by(signs: Column, is_test: Column | bool = False, is_execution: Column
 
 def is_error(content: Column, is_test: Column | bool = False, is_execution: Column | bool = True) -> Column:
     """Whether tool output reports an error; of commands only, hard signs count, and soft ones unless it is a test run."""
-    return error_by(error_signs(scan_window(content)), is_test, is_execution)
+    return once(once(scan_window(content), error_signs), lambda signs: error_by(signs, is_test, is_execution))
 
 
 def outcome_in(window: Column, signs: Column | None = None) -> Column:
@@ -75,7 +80,7 @@ def outcome_in(window: Column, signs: Column | None = None) -> Column:
 
 def test_outcome(content: Column) -> Column:
     """fail, pass or unknown for the output of a test run; the first of the rules that applies decides."""
-    return outcome_in(scan_window(content))
+    return once(scan_window(content), lambda window: once(error_signs(window), lambda signs: outcome_in(window, signs)))
 
 
 def think_parts(content: Column) -> tuple[Column, Column]:
