@@ -266,7 +266,7 @@ def load(path: str) -> ByteBPE:
 
 
 def round_trip(bpe: ByteBPE, text: str | None) -> tuple[int, str, str]:
-    """Tokens, SHA-256 of the packed ids and SHA-256 of the decoded text, in one streaming pass."""
+    """Tokens, SHA-256 of the packed ids and SHA-256 of the decoded text, in one streaming pass; a null text counts as empty."""
     ids_hash, text_hash, n = hashlib.sha256(), hashlib.sha256(), 0
 
     def tee() -> Iterator[bytes]:
