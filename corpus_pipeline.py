@@ -39,9 +39,12 @@ def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs."""
+    """Documents in which no full window of a benchmark item occurs, and no two items of fewer words.
+
+    A single short item, such as an answer of one word, is no evidence alone: clean documents hold it too.
+    """
     found = decontam.with_matches(docs, table(spark, sf_dir, "benchmark"), column="__stage")
-    return found.filter("size(__stage.items) = 0").drop("__stage")
+    return found.filter(f"__stage.longest < {decontam.WINDOW} AND size(__stage.items) < 2").drop("__stage")
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
