@@ -825,6 +825,14 @@ def test_redaction_against_a_plain_one(spark):
         assert got[i] == out + text[at:], i
 
 
+def test_python_reads_redacted_texts_behind_a_barrier(spark):
+    from trajectra.llm.shared import apart
+
+    df = spark.createDataFrame([(1, "mail a@b.co now")], "doc_id long, text string")
+    out = apart(df.withColumn("text", pii.redact(F.col("text"), pii.find_spans(F.col("text")))))
+    assert bpe_ops.bpe_round_trip(out, BYTE_BPE).first().decoded_sha256 == hashlib.sha256(b"mail [EMAIL] now").hexdigest()
+
+
 def brute_scores(text):
     """kind:start:end and score of every span, contexts cut from the text itself."""
     found = []

@@ -167,7 +167,10 @@ _PIECE = 1024
 
 
 def redact(text: Column, spans: Column) -> Column:
-    """The text with each span replaced by its kind in brackets; overlapping spans become one, named after the first."""
+    """The text with each span replaced by its kind in brackets; overlapping spans become one, named after the first.
+
+    Before a Python function reads the result, shared.apart() must keep it in a projection of its own.
+    """
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     pieces = F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{_PIECE}}}"), F.lit(0))
     reached = lambda ordered: _running(F.transform(ordered, lambda s: s["end"]), F.array_max, F.greatest)
