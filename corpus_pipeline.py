@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from trajectra.llm import bpe_ops, decontam, minhash, pii, quality
 from trajectra.llm.queries import BYTE_BPE
-from trajectra.llm.shared import cut, small_batches, table
+from trajectra.llm.shared import apart, cut, small_batches, table
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +53,7 @@ def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     changes = {"text": F.col("__stage_text")}
     if "n_chars" in docs.columns:
         changes["n_chars"] = F.when(F.size("__stage") > 0, F.length("__stage_text").cast("bigint")).otherwise(F.col("n_chars"))
-    return out.withColumns(changes).drop("__stage", "__stage_text")
+    return apart(out.withColumns(changes).drop("__stage", "__stage_text"))
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
