@@ -16,7 +16,6 @@ from trajectra.views import STEPS_SQL, conversation_messages, event_steps, event
 _STEPS = f"WITH {STEPS_SQL}"
 _s = lambda c: F.col(c).cast("string") if isinstance(c, str) else c.cast("string")
 _cat = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
-k = F.col("k")
 
 
 def _per_record(spark: SparkSession, sf_dir: str, step_json: Column, before: str, after: str) -> DataFrame:
@@ -55,6 +54,7 @@ UNION ALL SELECT rec_id, 2 + 3 * step, 'assistant', 'go ' || k, 't' || k, tool |
 UNION ALL SELECT rec_id, 3 + 3 * step, 'tool', output, NULL, NULL, 'c' || step FROM steps UNION ALL SELECT rec_id, 4 + 3 * step, 'user', 'and ' || k, NULL, NULL, NULL FROM steps WHERE k % 2 = 0
 UNION ALL SELECT DISTINCT rec_id, 1000000, 'assistant', 'done', NULL, NULL, NULL FROM steps) SELECT rec_id, {_NUMBERED}, role, content, reasoning, call, tool_call_id FROM p""")
 def convert_logged_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
     said = _cat('{"role":"assistant","content":[{"type":"thinking","thinking":"t', k, '"},{"type":"text","text":" go ', k, ' "},{"type":"tool_use","id":"c', F.col("step"), '","name":"', F.col("tool"), '","input":{"x":"', k, '","a":"y"}}]}')
     seen = _cat(',{"role":"user","content":[{"type":"tool_result","tool_use_id":"c', F.col("step"), '","content":[{"type":"text","text":', _quoted(F.col("output")), "}]}", F.when(k % 2 == 0, _cat(',{"type":"text","text":"and ', k, '"}')).otherwise(""), "]}")
     tools = ",".join(f'{{"name":"{t}","input_schema":{{"properties":{{"a":{{}},"x":{{}}}}}}}}' for t in ("Read", "Edit", "Grep", "Bash"))
@@ -66,6 +66,7 @@ def convert_logged_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_STEPS + """ SELECT rec_id, step, CASE WHEN k % 3 = 0 THEN '' ELSE 'a' || k END AS analysis, CASE WHEN k % 3 = 1 THEN '' ELSE 'p' || k END AS plan, output || CASE WHEN k % 2 = 0 THEN chr(10) ELSE '' END AS keystrokes, CASE WHEN k % 2 = 1 THEN k::DOUBLE END AS duration, step = n - 1 AS complete, CASE WHEN step < n - 1 THEN output END AS seen FROM steps""")
 def convert_typed_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
     said = F.when(k % 3 == 0, _cat("Plan: p", k)).when(k % 3 == 1, _cat("Analysis: a", k)).otherwise(_cat("Analysis: a", k, "\nPlan: p", k))
     keys = F.when(k % 2 == 0, _cat('"command":', _quoted(F.col("output")))).otherwise(_cat('"keystrokes":', _quoted(F.col("output")), ',"duration":', k))
     step = _cat('{"message":', _quoted(said), ',"tool_calls":[{"function_name":"run","arguments":{', keys, "}}", F.when(F.col("last"), ',{"function_name":"mark_task_complete","arguments":{}}').otherwise(""), '],"observation":{"results":[{"content":', _quoted(F.col("output")), "}]}}")
@@ -121,8 +122,8 @@ def _logged(t: Column, n: Column, calls: Column, role: Column, choice: Column) -
     return _cat(*out)
 
 
-_CALL = F.lit('{"id":"1","function":{"name":"Edit","arguments":"{}"}}')
-_DONE = F.lit('{"message":{"role":"assistant","content":"done"}}')
+_CALL = '{"id":"1","function":{"name":"Edit","arguments":"{}"}}'
+_DONE = '{"message":{"role":"assistant","content":"done"}}'
 
 
 def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,6 +170,7 @@ def last_record_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_STEPS + """ SELECT rec_id, step, CASE WHEN k % 2 = 0 THEN 'a' || k ELSE '' END AS thought, CASE WHEN k % 2 = 0 THEN 'b' || k ELSE '<think>x' || k END AS rest, CASE WHEN k % 2 = 0 THEN 'b' || k ELSE '<think>x' || k END AS stripped FROM steps""")
 def think_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
     said = F.when(k % 2 == 0, _cat("<think> a", k, " </think>\n b", k, " ")).otherwise(_cat("<think>x", k))
     thought, rest = text.think_parts(F.col("c"))
     return event_steps(spark, sf_dir).withColumn("c", said).select("rec_id", "step", thought.alias("thought"), rest.alias("rest"), text.without_think(F.col("c")).alias("stripped"))
@@ -176,6 +178,7 @@ def think_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_STEPS + """ SELECT rec_id, step, CASE WHEN k % 3 = 2 THEN '"{' || k || '"' ELSE '{"b":' || k || ',"a":"é","c":[1,2]}' END AS canonical, CASE WHEN k % 3 = 2 THEN '"{' || k || '"' ELSE '{"a":"é","b":' || k || ',"c":[1,2]}' END AS ordered FROM steps""")
 def call_arguments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
     raw = F.when(k % 3 == 2, _cat("{", k)).otherwise(_cat('{"b": ', k, ', "a": "é", "c": [1, 2]}'))
     rows = event_steps(spark, sf_dir).withColumn("raw", raw)
     return rows.select("rec_id", "step", normalize.args_canon(F.col("raw")).alias("canonical"), normalize.args_reorder(F.col("raw"), F.array(F.lit("a"), F.lit("z"), F.lit("b"))).alias("ordered"))
@@ -257,6 +260,7 @@ def scaffolds_and_endings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_STEPS + """ SELECT CAST(rec_id AS VARCHAR) AS rec_id, 'terminus2' AS scaffold, sum(1 + k % 2)::BIGINT AS calls, count(*) FILTER (is_error) AS errors, bool_or(step = n - 1 AND k % 2 = 0) AS finished FROM steps GROUP BY rec_id""")
 def typed_command_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
     steps = event_steps(spark, sf_dir)
     last = F.col("step") == F.max("step").over(_by_record())
     typed = _cat('<think>x</think>{"commands":[{"keystrokes":"ls\\n"}', F.when(k % 2 == 1, ',{"keystrokes":"pwd\\n"}').otherwise(""), "]", F.when((k % 2 == 0) & F.col("last"), ',"task_complete":true').otherwise(""), "}")
@@ -393,6 +397,7 @@ def _choose(values, index: Column) -> Column:
 
 @query(_STEPS + f""" SELECT rec_id, step, {_sql_case('k % 8', [str(t).upper() for _, t, _ in _RUN])} AS test_run, replace({_sql_case('k % 8', [f"'{e}'" for *_, e in _RUN])}, '{{k}}', '' || k) AS edits FROM steps""")
 def composed_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
     command = F.concat(_choose(_BEFORE, F.col("step") % 6), F.replace(_choose([c for c, *_ in _RUN], k % 8), F.lit("{k}"), _s(k)), _choose(_AFTER, F.floor(F.col("step") / 6) % 3))
     rows = event_steps(spark, sf_dir).withColumn("cmd", command)
     return rows.select("rec_id", "step", shell.is_test_run(F.col("cmd")).alias("test_run"), F.array_join(shell.edit_paths(F.col("cmd")), ",").alias("edits"))
@@ -400,6 +405,7 @@ def composed_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_STEPS + """ SELECT rec_id, step, CASE WHEN k % 3 > 0 THEN 'fail' WHEN k % 5 > 0 THEN 'pass' ELSE 'unknown' END AS outcome FROM steps""")
 def composed_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
     lines = F.repeat(_cat("collecting case ", k, "\n"), (k % 40 * 20).cast("int"))
     failed = F.when(k % 3 > 0, _cat(k % 3, " failed")).otherwise("")
     passed = F.when(k % 5 > 0, _cat(k % 5, " passed")).otherwise("")
@@ -409,6 +415,7 @@ def composed_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_STEPS + """ SELECT rec_id, step, 'src/m' || k || '/x.py' AS path, k % 4 = 1 AS is_test, k % 3 <> 2 AS plausible FROM steps""")
 def composed_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("k")
     root = _choose(("/testbed/", "/workspace/", "./", ""), F.col("step") % 4)
     path = F.concat(root, F.lit("src/"), F.when(k % 2 == 0, "./").otherwise("q/../"), _cat("m", k), F.lit("//x.py"))
     test = F.when(k % 4 == 1, _cat("pkg/test_", k, ".py")).otherwise(_cat("pkg/contest", k, ".py"))
