@@ -186,4 +186,4 @@ INTENT_WORDS = {
 DONE_CLEARLY = r"(?iuU)\b(?:(?:fix|task|issue|bug|change|patch)\s+(?:is\s+)?(?:complete|completed|fixed|resolved|done|verified|ready)|(?:all\s+)?tests?\s+(?:now\s+)?pass(?:ed|ing)?|successfully\s+(?:fixed|resolved|implemented|verified|applied)|(?:the\s+)?(?:fix|patch|implementation)\s+(?:is\s+)?(?:complete|ready|working))\b"
 DONE_PERHAPS = r"(?iuU)\b(?:complete|completed|fixed|done|resolved|verified)\b"
 TURN_ERROR_STARTS = ("<tool_use_error>", "The arguments provided to the tool are invalid")
-CJK = "[" + chr(0x3400) + "-" + chr(0x9FFF) + "]"
+CJK = "[㐀-鿿]"
