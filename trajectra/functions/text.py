@@ -23,7 +23,7 @@ def once(value: Column, use) -> Column:
 
 def strip(text: Column) -> Column:
     """Without white space, of any kind, on both ends."""
-    return F.regexp_replace(text, r"(?U)^\s++|\s++$", "")
+    return F.regexp_extract(text, r"(?Us)^\s*+(.*\S)?", 1)  # from both ends: no search for white space in between
 
 
 def strip_ansi(text: Column) -> Column:
@@ -36,11 +36,14 @@ def scan_window(text: Column) -> Column:
 
     The tail begins after its first line end if that is among its first 300 characters.
     """
-    clean = strip_ansi(F.coalesce(text, F.lit("")))
-    tail = F.right(clean, F.lit(WINDOW))
-    at = F.instr(tail, "\n")
-    aligned = F.when((at > 0) & (at <= ALIGN), F.substring(tail, at + 1, F.lit(WINDOW))).otherwise(tail)
-    return F.when(F.length(clean) <= 2 * WINDOW, clean).otherwise(F.concat(F.substring(clean, 1, WINDOW), F.lit("\n"), aligned))
+
+    def window(clean: Column) -> Column:
+        tail = F.right(clean, F.lit(WINDOW))
+        at = F.instr(tail, "\n")
+        aligned = F.when((at > 0) & (at <= ALIGN), F.substring(tail, at + 1, F.lit(WINDOW))).otherwise(tail)
+        return F.when(F.length(clean) <= 2 * WINDOW, clean).otherwise(F.concat(F.substring(clean, 1, WINDOW), F.lit("\n"), aligned))
+
+    return once(strip_ansi(F.coalesce(text, F.lit(""))), window)
 
 
 def error_signs(window: Column) -> Column:
@@ -122,7 +125,7 @@ def infer_language(first_user_text: Column) -> Column:
 def make_id(text: Column, fallback: str) -> Column:
     """Lower-case id of letters and digits, all else as single underscores, 64 characters at most."""
     clean = F.substring(F.regexp_replace(F.lower(F.regexp_replace(F.coalesce(text, F.lit("")), "[^a-zA-Z0-9]+", "_")), "^_+|_+$", ""), 1, 64)
-    return F.when(clean == "", fallback).otherwise(clean)
+    return once(clean, lambda c: F.when(c == "", fallback).otherwise(c))
 
 
 def clamp_score(value: Column, low: int, high: int) -> Column:
@@ -146,4 +149,4 @@ def summary_base(content: Column) -> Column:
 def fenced_json(text: Column) -> Column:
     """JSON text without the fence around it; null if it doesn't parse."""
     bare = strip(F.regexp_replace(strip(text), r"(?s)^```(?:json)?\s*|\s*```$", ""))
-    return F.when(F.try_parse_json(bare).isNotNull(), bare)
+    return once(bare, lambda b: F.when(F.try_parse_json(b).isNotNull(), b))

@@ -127,20 +127,25 @@ def checklist_rows(rows: DataFrame, answer: str = "answer", cap: int = 40) -> Da
     Accepts {"categories": [...]} and {"categories": {id: {...}}}, a bare list, and {id: {"checks": [...]}}.  Blank
     descriptions go, missing names are made from the position, and the caps and numbering are those of stats.capped_checks().
     """
-    filled = lambda *cs: F.coalesce(*(F.when(text.strip(c) != "", c) for c in cs), F.lit(""))
-    bare = text.fenced_json(F.col(answer))
-    listed = F.get_json_object(bare, "$.categories")
-    source = F.when(bare.startswith("["), bare).otherwise(F.coalesce(listed, bare))
-    by_name = F.map_entries(F.from_json(source, "map<string,string>"))
-    named = F.filter(by_name, lambda e: listed.isNotNull() | (~e["key"].isin(*NO_CATEGORIES) & F.get_json_object(e["value"], "$.checks").startswith("[")))
+    # each text is parsed and trimmed once: what is read twice is a column, or the argument of a lambda, and blank checks go within their array
+    trimmed = lambda *cs: F.coalesce(*(text.once(text.strip(c), lambda s: F.when(s != "", s)) for c in cs), F.lit(""))
+    bare = rows.select("rec_id", text.fenced_json(F.col(answer)).alias("bare"))
+    listed = bare.select("rec_id", "bare", F.get_json_object("bare", "$.categories").alias("listed"))
+    found = listed.select("rec_id", F.col("listed").isNotNull().alias("given"), F.when(F.col("bare").startswith("["), F.col("bare")).otherwise(F.coalesce("listed", "bare")).alias("source"))
+    by_name = F.map_entries(F.from_json("source", "map<string,string>"))
+    named = F.filter(by_name, lambda e: F.col("given") | (~e["key"].isin(*NO_CATEGORIES) & F.get_json_object(e["value"], "$.checks").startswith("[")))
     keyed = F.transform(named, lambda e: F.from_json(e["value"], _CATEGORY).withField("category_id", e["key"]))
-    parsed = F.when(source.startswith("["), F.from_json(source, f"array<{_CATEGORY}>")).otherwise(keyed)
-    cats = rows.select("rec_id", F.posexplode(parsed).alias("cat_pos", "c")).filter("c IS NOT NULL")
-    category = text.make_id(filled(F.col("c.category_id"), F.col("c.name")), F.concat(F.lit("category_"), F.col("cat_pos") + 1))
-    checks = cats.select("rec_id", "cat_pos", category.alias("category_id"), F.posexplode("c.checks").alias("check_pos", "k"))
-    said = text.strip(filled(F.col("k.description"), F.col("k.requirement"), F.col("k.check")))
-    given = text.make_id(F.coalesce("k.check_id", F.lit("")), F.concat_ws("_", "category_id", F.col("check_pos") + 1))
-    return stats.capped_checks(checks.withColumn("description", said).filter("description <> ''").select("rec_id", "cat_pos", "category_id", "check_pos", given.alias("check_id"), "description"), cap)
+    parsed = F.when(F.col("source").startswith("["), F.from_json("source", f"array<{_CATEGORY}>")).otherwise(keyed)
+    cats = found.select("rec_id", F.posexplode(parsed).alias("cat_pos", "c")).filter("c IS NOT NULL")
+    category = text.make_id(trimmed(F.col("c.category_id"), F.col("c.name")), F.concat(F.lit("category_"), F.col("cat_pos") + 1))
+    cats = cats.select("rec_id", "cat_pos", category.alias("category_id"), F.col("c.checks").alias("checks"))
+
+    def check(k: Column, i: Column) -> Column:
+        given = text.make_id(F.coalesce(k["check_id"], F.lit("")), F.concat_ws("_", "category_id", i + 1))
+        return F.struct(i.alias("check_pos"), given.alias("check_id"), trimmed(k["description"], k["requirement"], k["check"]).alias("description"))
+
+    checks = cats.select("rec_id", "cat_pos", "category_id", F.inline(F.filter(F.transform("checks", check), lambda k: k["description"] != "")))
+    return stats.capped_checks(checks.select("rec_id", "cat_pos", "category_id", "check_pos", "check_id", "description"), cap)
 
 
 def once_for_each(rows: DataFrame, prompt: Column, client: Client, pause: float = FIRST_PAUSE) -> DataFrame:
@@ -150,8 +155,13 @@ def once_for_each(rows: DataFrame, prompt: Column, client: Client, pause: float
     return keyed.drop("__prompt").join(made, "__key").select(*rows.columns, F.col("__a.answer").alias("answer"), F.col("__a.error").alias("error"))
 
 
-def project_judgement(checks: DataFrame, judged: DataFrame) -> DataFrame:
-    """Every check with its judged score (0 or 1), status, reasoning and up to three evidence texts; checks that weren't judged fail."""
+def project_judgement(checks: DataFrame, judged: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Every check with its judged score (0 or 1), status, reasoning and up to three evidence texts; checks that weren't judged fail.
+
+    Both are dealt out to so many tasks, if given, else to as many as the session says.
+    """
+    if tasks is not None:
+        checks, judged = (d.repartition(tasks, "rec_id", "category_id", "check_id") for d in (checks, judged))
     j = judged.groupBy("rec_id", "category_id", "check_id").agg(F.max(F.struct("status", "score", "reasoning", "evidence")).alias("j"))
     score = text.clamp_score(F.col("j.score"), 0, 1)
     evidence = F.slice(F.filter(F.coalesce("j.evidence", F.array()), lambda e: text.strip(F.coalesce(e, F.lit(""))) != ""), 1, 3)

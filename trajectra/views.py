@@ -12,12 +12,23 @@ from pyspark.sql import functions as F
 from trajectra import schema
 
 TOOLS = ("Read", "Bash", "Edit", "Grep")
+#: Rows that one task of an exchange gets at most, if no key has more.
+TASK_ROWS = 1 << 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tasks_for(rows: DataFrame) -> int:
+    """Partitions for an exchange of these rows, so that a task's share stays the same on larger tables.
+
+    Left to itself, Spark shuffles into a fixed number of partitions or coalesces them by their compressed size, which
+    tells little of the arrays that are made from them.  Rows of Parquet are counted from its footers.
+    """
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // TASK_ROWS))
+
+
 def event_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """rec_id, step, k, tool, args and output of each event, in order of time."""
     order = Window.partitionBy("user_id").orderBy("ts", "event_id")
