@@ -21,6 +21,8 @@ def assert_dealt(spark, monkeypatch, name, table):
     monkeypatch.setattr(views, "TASK_ROWS", 50)
     most = -(-spark.read.parquet(f"{DATA}/{table}.parquet").count() // 50)
     found = exchanges(QUERIES[name](spark, DATA))
+    if name in SUMMARIES:  # their last exchange is by a few groups
+        found = found[-1:]
     assert found and min(found) >= most, found
 
 
@@ -29,6 +31,15 @@ def test_tasks_grow_with_lines(spark, monkeypatch, name):
     assert_dealt(spark, monkeypatch, name, "lineitem")
 
 
+SUMMARIES = {"score_summary", "tool_error_rate"}
+EVENT_QUERIES = ["composite", "m_dpi", "m_sub", "m_tvr", "scaffolds_and_endings", "score_record", "score_summary", "err_repeat", "late_error_rate", "m_oec", "m_ped", "m_scp", "tool_error_counts", "tool_error_rate", "typed_command_errors", "observations"]
+
+
+@pytest.mark.parametrize("name", EVENT_QUERIES)
+def test_tasks_grow_with_events(spark, monkeypatch, name):
+    assert_dealt(spark, monkeypatch, name, "events")
+
+
 def test_an_answer_is_parsed_once(spark):
     rows = spark.createDataFrame([(1, '{"a":{"checks":[{"description":"x"}]}}')], "rec_id long, answer string")
     checks = judge.checklist_rows(rows)

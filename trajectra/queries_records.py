@@ -261,13 +261,13 @@ def scaffolds_and_endings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_STEPS + """ SELECT CAST(rec_id AS VARCHAR) AS rec_id, 'terminus2' AS scaffold, sum(1 + k % 2)::BIGINT AS calls, count(*) FILTER (is_error) AS errors, bool_or(step = n - 1 AND k % 2 = 0) AS finished FROM steps GROUP BY rec_id""")
 def typed_command_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
-    steps = event_steps(spark, sf_dir)
+    steps = event_steps(spark, sf_dir, text_ids=True)
     last = F.col("step") == F.max("step").over(_by_record())
     typed = _cat('<think>x</think>{"commands":[{"keystrokes":"ls\\n"}', F.when(k % 2 == 1, ',{"keystrokes":"pwd\\n"}').otherwise(""), "]", F.when((k % 2 == 0) & F.col("last"), ',"task_complete":true').otherwise(""), "}")
     message = lambda role, content: F.from_json(F.lit(f'[{{"role":"{role}"}}]'), f"array<{schema.MESSAGE}>")[0].withField("content", content)
     pair = F.struct("step", F.array(message("assistant", typed), message("user", F.col("output"))).alias("m"))
     rows = steps.withColumn("last", last).groupBy("rec_id").agg(F.array_sort(F.collect_list(pair)).alias("pairs"))
-    rows = rows.select(_s("rec_id").alias("rec_id"), F.lit(None).cast(f"array<{schema.TOOL}>").alias("tools"), F.concat(F.array(message("user", F.lit("fix"))), F.flatten(F.transform("pairs", lambda p: p["m"]))).alias("messages"))
+    rows = rows.select("rec_id", F.lit(None).cast(f"array<{schema.TOOL}>").alias("tools"), F.concat(F.array(message("user", F.lit("fix"))), F.flatten(F.transform("pairs", lambda p: p["m"]))).alias("messages"))
     p = relations.profiles(relations.steps(rows))
     return metrics.error_counts(p).join(p.select("rec_id", F.col("last_turn.t2_done").alias("finished")), "rec_id")
 

@@ -29,10 +29,15 @@ def tasks_for(rows: DataFrame) -> int:
     return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // TASK_ROWS))
 
 
-def event_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """rec_id, step, k, tool, args and output of each event, in order of time."""
-    order = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    e = table(spark, sf_dir, "events").withColumn("step", F.row_number().over(order) - 1).withColumn("k", F.coalesce(F.get_json_object("props", "$.k").cast("bigint"), F.lit(0)))
+def event_steps(spark: SparkSession, sf_dir: str, text_ids: bool = False) -> DataFrame:
+    """rec_id, step, k, tool, args and output of each event, in order of time.
+
+    Events are dealt out by rec_id once: what is grouped by it later, as text if text_ids, isn't dealt out again.
+    """
+    order = Window.partitionBy("rec_id").orderBy("ts", "event_id")
+    e = table(spark, sf_dir, "events")
+    e = e.withColumn("rec_id", F.col("user_id").cast("string" if text_ids else "bigint")).repartition(tasks_for(e), "rec_id")
+    e = e.withColumn("step", F.row_number().over(order) - 1).withColumn("k", F.coalesce(F.get_json_object("props", "$.k").cast("bigint"), F.lit(0)))
     kind = F.col("event_type")
     file = F.concat(F.lit("src/f"), (F.col("k") % 7).cast("string"), F.lit(".py"))
     command = F.when(kind == "error", "make build").when(F.col("k") % 3 == 0, "cd /repo && pytest -q tests 2>&1 | tail -5").when(F.col("k") % 3 == 1, F.concat(F.lit("echo x > "), file)).otherwise("ls -la")
@@ -40,7 +45,7 @@ def event_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     args = F.when(kind.isin("view", "purchase"), F.to_json(F.struct(file.alias("file_path")))).when(kind == "signup", F.lit('{"pattern":"x"}')).otherwise(F.to_json(F.struct(command.alias("command"))))
     test_out = F.when(F.col("k") % 4 == 0, "3 passed in 0.1s").when(F.col("k") % 4 == 1, "1 failed, 2 passed").when(F.col("k") % 4 == 2, "collected 0 items").otherwise("done")
     output = F.when(kind == "error", "make: command not found").when((kind == "click") & (F.col("k") % 3 == 0), test_out).otherwise(F.concat(F.lit("ok "), F.col("event_type"), F.lit(" "), F.col("k").cast("string")))
-    return e.select(F.col("user_id").alias("rec_id"), "step", "k", tool.alias("tool"), args.alias("args"), output.alias("output"), kind.alias("kind"))
+    return e.select("rec_id", "step", "k", tool.alias("tool"), args.alias("args"), output.alias("output"), kind.alias("kind"))
 
 
 STEPS_SQL = """
@@ -61,7 +66,7 @@ steps AS (SELECT rec_id, step, k, kind,
 
 def event_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One nested trajectory for each user: a task, and for each event a call and its output; it ends with a tool message."""
-    steps = event_steps(spark, sf_dir)
+    steps = event_steps(spark, sf_dir, text_ids=True)
     call = F.array(F.struct(F.concat_ws("_", F.lit("call"), "step").alias("id"), F.lit("function").alias("type"), F.struct(F.col("tool").alias("name"), F.col("args").alias("arguments")).alias("function")))
     none = F.lit(None)
     message = lambda role, content, calls=None: F.struct(F.lit(role).alias("role"), none.cast("string").alias("name"), content.alias("content"), none.cast("string").alias("reasoning_content"), (calls if calls is not None else none.cast(f"array<{schema.CALL}>")).alias("tool_calls"), none.cast("double").alias("weight"), none.cast("string").alias("tool_call_id"))
@@ -70,7 +75,7 @@ def event_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
     grouped = steps.groupBy("rec_id").agg(F.array_sort(F.collect_list(pair)).alias("pairs"))
     tools = F.array(*(F.struct(F.lit("function").alias("type"), F.struct(F.lit(t).alias("name"), F.lit("").alias("description"), F.lit("{}").alias("parameters")).alias("function")) for t in TOOLS))
     first = F.array(message("user", F.lit("fix it")))
-    return grouped.select(F.col("rec_id").cast("string").alias("rec_id"), tools.alias("tools"), F.concat(first, F.flatten(F.transform("pairs", lambda p: p["m"]))).alias("messages"))
+    return grouped.select("rec_id", tools.alias("tools"), F.concat(first, F.flatten(F.transform("pairs", lambda p: p["m"]))).alias("messages"))
 
 
 def conversation_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
