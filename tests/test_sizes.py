@@ -46,3 +46,15 @@ def test_an_answer_is_parsed_once(spark):
     plan = checks._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"parseJson|parse_json", plan)) == 1
     assert [tuple(r) for r in checks.select("category_id", "check_id", "description").collect()] == [("a", "a_1", "x")]
+
+
+@pytest.mark.parametrize("name", ["convert_typed_steps", "convert_logged_blocks"])
+def test_records_go_to_python_in_small_batches(spark, name):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, str(64 << 20))
+        QUERIES[name](spark, DATA)
+        assert int(spark.conf.get(key)) <= 8 << 20
+    finally:
+        spark.conf.set(key, before)

@@ -3,24 +3,12 @@
 from __future__ import annotations
 
 import gc
-import re
 import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-#: Bytes of a batch that goes to a Python worker.  A batch is held off the heap in the JVM, with room to double, and
-#: again in the worker; the default of 64 MB is too much for small executors and whole texts.
-BATCH_BYTES = 8 << 20
-_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
-def small_batches(spark: SparkSession) -> None:
-    """Lower the session's bound on batches to BATCH_BYTES, unless it is lower already."""
-    now = re.fullmatch(r"(\d+)b?", spark.conf.get(_BATCH) or "")
-    if now is None or int(now[1]) > BATCH_BYTES or int(now[1]) <= 0:
-        spark.conf.set(_BATCH, str(BATCH_BYTES))
+from trajectra.batches import BATCH_BYTES, small_batches  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

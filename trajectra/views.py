@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trajectra import schema
+from trajectra.batches import small_batches
 
 TOOLS = ("Read", "Bash", "Edit", "Grep")
 #: Rows that one task of an exchange gets at most, if no key has more.
@@ -17,6 +18,7 @@ TASK_ROWS = 1 << 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
