@@ -63,3 +63,23 @@ def test_small_rules(spark):
     assert column(spark, ["3", "9", "x", None, "3.7"], lambda c: text.clamp_score(c, 1, 5)) == [3, 5, 1, 1, 1]
     assert column(spark, ["aabb", "", None], lambda c: F.round(text.char_entropy(c), 3)) == [1.0, 0.0, 0.0]
     assert column(spark, ["```json\n{\"a\":1}\n```", "no"], text.fenced_json) == ['{"a":1}', None]
+
+
+ODD_CASES = [f"{a} {b}" for a in ("", "exit:", "tests?") for b in ("3 faıled", "3 paſſed", "3 FAİLED", "3 Failed", "2 FAİLURES", "eXıT code: 3", "ran 0 teſtS", "all checKs paſs", "all checKs pass", "BUİLD failed", "compilatıon FAILED", "exit code 0", "error: x", "Error: x", "ERROR: x", "ok 1", "OK", "ö 3 failed", "\x1b[1m3 failed\r")]
+TOLD = ["Traceback (most recent call last)", "KeyError", "StopIteration", "No such file or directory", "command not found", "Permission denied", "returned non-zero exit status 1", "Invalid `x` parameter", "parameter is required for 'x' command", "No replacement was performed", "Error executing tool x", "Error validating args a for tool b", " ERROR: x", "The arguments provided to the tool are invalid", "[An error occurred during execution.]", "<tool_use_error>", "error: doctest failed", "3 tests completed, 1 failed", "1 tests failed out of 3", "Errors while running CTest", "Tests: 3 passed, 1 failed", "Test Suites: 1 failed", "No test files found", "error Command failed with exit code 1", "fail: 1", "BUILD FAILURE", "Couldn't compile the test", "Pass: 3, fail: 0", "Tests run: 3, Failures: 0, Errors: 0", "error count: 0", "no tests were found"]
+
+
+def test_words_only_spare_searches(spark):
+    from trajectra.functions import patterns as P
+
+    texts = [None, *FAILING, *PASSING, *UNKNOWN, *ODD_CASES, *TOLD, *(f"x\n{t.swapcase()}" for t in ODD_CASES + TOLD), *(t.upper() for t in FAILING + PASSING)]
+    tried = [(p, w) for kind in (P.TOOL_MARKERS, P.HARD_ERRORS, P.SOFT_ERRORS, P.TEST_FAILED, P.NO_TESTS_RAN, P.TEST_PASSED) for p, w in kind.items()]
+    plain = column(spark, texts, lambda c: F.array(*(c.rlike(p) for p, _ in tried)))
+    assert column(spark, texts, lambda c: F.array(*(text.any_match(c, text.folded(c), {p: w}) for p, w in tried))) == plain
+    assert [any(found) for found in zip(*plain)] == [True] * len(tried)
+
+
+def test_patterns_are_not_tried_without_their_words(spark):
+    slow = r"(?:(?:x+)+)+:"  # takes for ever on many x
+    assert column(spark, ["x" * 4000, "3 failed"], lambda c: text.any_match(c, text.folded(c), {slow: ":", r"\d failed": "failed"})) == [False, True]
+    assert column(spark, ["\x1b[31mred\r\n", "plain"], text.strip_ansi) == ["red\n", "plain"]

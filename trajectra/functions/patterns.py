@@ -3,99 +3,111 @@
 Their results must not change, so they are stated here as they are defined for
 trajectories, in Java's dialect: ``(?d)`` makes only \\n end a line, ``(?U)`` gives
 \\w, \\d, \\s and \\b their Unicode meaning, ``(?m)`` and ``(?i)`` as usual.
+
+Patterns for whole outputs come with words, one of which each of their matches holds (in small letters with ``(?i)``):
+a search for a word costs far less than one for a pattern.
 """
 
 from __future__ import annotations
 
 # ---- fixed values: output of tools ----
 
+#: What each escape or return that ANSI takes away holds.
+ESCAPES = ("\x1b", "\r")
 ANSI = r"\x1b\[[0-9;?]*[A-Za-z]|\x1b\][^\x07]*(?:\x07|\x1b\\)|\x1b[@-Z\\-_]|\r"
 
 #: A failure reported by the tool itself, in the output of any tool.
-TOOL_MARKERS = (
-    r"<tool_use_error>",
-    r"The arguments provided to the tool are invalid",
-    r"\[An error occurred during execution\.\]",
-    r"(?dU)Error validating args\b.*\bfor tool\b",
-    r"(?U)Error executing tool\b",
-    r"(?U)^\s*ERROR:",
-    r"No replacement was performed",
-    r"(?U)parameter is required for ['\"]?\w+['\"]? command",
-    r"Invalid `[^`]+` parameter",
-)
+TOOL_MARKERS = {
+    r"<tool_use_error>": "<tool_use_error>",
+    r"The arguments provided to the tool are invalid": "The arguments provided",
+    r"\[An error occurred during execution\.\]": "An error occurred",
+    r"(?dU)Error validating args\b.*\bfor tool\b": "Error validating args",
+    r"(?U)Error executing tool\b": "Error executing tool",
+    r"(?U)^\s*ERROR:": "ERROR:",
+    r"No replacement was performed": "No replacement was performed",
+    r"(?U)parameter is required for ['\"]?\w+['\"]? command": "parameter is required",
+    r"Invalid `[^`]+` parameter": "Invalid `",
+}
 
 #: A command that didn't run or didn't succeed, in the output of commands.
-HARD_ERRORS = (
-    r"command not found",
-    r"Permission denied",
-    r"(?iuU)exit code[:\s]+-?[1-9]",
-    r"returned non-zero exit status",
-)
+HARD_ERRORS = {
+    r"command not found": "command not found",
+    r"Permission denied": "Permission denied",
+    r"(?iuU)exit code[:\s]+-?[1-9]": "exit code",
+    r"returned non-zero exit status": "non-zero exit status",
+}
 
 #: The same, unless the command is a test run.
-SOFT_ERRORS = (
-    r"Traceback \(most recent call last\)",
-    r"(?U)\b(?:SyntaxError|TypeError|ValueError|KeyError|IndexError|AttributeError|ImportError|ModuleNotFoundError|FileNotFoundError|NameError|RuntimeError|OSError|IOError|PermissionError|ZeroDivisionError|NotImplementedError|StopIteration|RecursionError|AssertionError|UnicodeDecodeError)\b",
-    r"No such file or directory",
-    r"(?U)\bFAILED\b",
-)
+SOFT_ERRORS = {
+    r"Traceback \(most recent call last\)": "Traceback (most",
+    r"(?U)\b(?:SyntaxError|TypeError|ValueError|KeyError|IndexError|AttributeError|ImportError|ModuleNotFoundError|FileNotFoundError|NameError|RuntimeError|OSError|IOError|PermissionError|ZeroDivisionError|NotImplementedError|StopIteration|RecursionError|AssertionError|UnicodeDecodeError)\b": ("Error", "StopIteration"),
+    r"No such file or directory": "No such file",
+    r"(?U)\bFAILED\b": "FAILED",
+}
 
 _N = r"(?!0+\b)\d+"
+#: A number of its own; that it begins with a digit is asked first, as \b is slow with (?U).
+_COUNT = rf"(?=\d)\b{_N}"
+
+TEST_FAILED = {
+    r"(?iuU)\bexit(?:\s*code)?\s*[:=]\s*-?(?!0+\b)\d{1,3}\b": "exit",
+    r"(?dmU)^(?:FAILED|ERROR)\s+\S+": ("FAILED", "ERROR"),
+    rf"(?iuU){_COUNT}\s+failed\b": "failed",
+    r"(?dmU)^(?:FAIL|ERROR):\s": ("FAIL:", "ERROR:"),
+    r"(?dmU)^\s*---\s*FAIL:": "FAIL:",
+    r"(?dmU)^FAIL\b": "FAIL",
+    r"(?U)test result:\s*FAILED": "test result:",
+    r"(?dmU)^error(?:\[E\d+\])?:": "error",
+    r"Couldn't compile the test": "Couldn't compile",
+    r"(?U)\berror: (?:doctest failed|test failed)": ("doctest failed", "test failed"),
+    rf"(?U)Tests run:[^\n]*?(?:Failures|Errors):\s*{_N}": "Tests run:",
+    r"(?U)\bBUILD FAILURE\b": "BUILD FAILURE",
+    r"(?dmU)^\s*\[ERROR\]\s": "[ERROR]",
+    r"(?U)\b\w+Test\b\s*>\s*\S+\s+FAILED\b": "FAILED",
+    rf"(?U)\b\d+\s+tests? completed,\s*{_N}\s+failed": "completed,",
+    r"The following tests FAILED": "The following tests",
+    rf"(?U){_COUNT}\s+tests? failed out of\b": "failed out of",
+    r"Errors while running CTest": "Errors while",
+    r"(?U)\[\s*FAILED\s*\]": "FAILED",
+    rf"(?dmU)^Tests:\s+[^\n]*?{_COUNT}\s+failed": "Tests:",
+    rf"(?dmU)^Test Suites:\s+[^\n]*?{_COUNT}\s+failed": "Test Suites:",
+    rf"(?U){_COUNT}\s+failing\b": "failing",
+    r"No test files found": "No test files",
+    r"error Command failed with exit code [1-9]": "error Command",
+    r"(?dm)^FAILURES!": "FAILURES!",
+    rf"(?iuU){_COUNT}\s+failures?\b": "failure",
+    r"(?U)\bfail:\s*[1-9]": "fail:",
+    r"(?iuU)\b(?:compilation|build) failed\b": ("compilation", "build failed"),
+}
 
-TEST_FAILED = (
-    r"(?iuU)\bexit(?:\s*code)?\s*[:=]\s*-?(?!0+\b)\d{1,3}\b",
-    r"(?dmU)^(?:FAILED|ERROR)\s+\S+",
-    rf"(?iuU)\b{_N}\s+failed\b",
-    r"(?dmU)^(?:FAIL|ERROR):\s",
-    r"(?dmU)^\s*---\s*FAIL:",
-    r"(?dmU)^FAIL\b",
-    r"(?U)test result:\s*FAILED",
-    r"(?dmU)^error(?:\[E\d+\])?:",
-    r"Couldn't compile the test",
-    r"(?U)\berror: (?:doctest failed|test failed)",
-    rf"(?U)Tests run:[^\n]*?(?:Failures|Errors):\s*{_N}",
-    r"(?U)\bBUILD FAILURE\b",
-    r"(?dmU)^\s*\[ERROR\]\s",
-    r"(?U)\b\w+Test\b\s*>\s*\S+\s+FAILED\b",
-    rf"(?U)\b\d+\s+tests? completed,\s*{_N}\s+failed",
-    r"The following tests FAILED",
-    rf"(?U)\b{_N}\s+tests? failed out of\b",
-    r"Errors while running CTest",
-    r"(?U)\[\s*FAILED\s*\]",
-    rf"(?dmU)^Tests:\s+[^\n]*?\b{_N}\s+failed",
-    rf"(?dmU)^Test Suites:\s+[^\n]*?\b{_N}\s+failed",
-    rf"(?U)\b{_N}\s+failing\b",
-    r"No test files found",
-    r"error Command failed with exit code [1-9]",
-    r"(?dm)^FAILURES!",
-    rf"(?iuU)\b{_N}\s+failures?\b",
-    r"(?U)\bfail:\s*[1-9]",
-    r"(?iuU)\b(?:compilation|build) failed\b",
-)
+NO_TESTS_RAN = {
+    r"(?iuU)(?=r)\bRan 0+ tests?\b": "ran 0",
+    r"(?iuU)(?=n)\bno tests? (?:ran|were found|to run|found)\b": "no test",
+    r"(?iuU)(?=c)\bcollected 0+ items\b": "collected 0",
+}
 
-NO_TESTS_RAN = r"(?iuU)\bRan 0+ tests?\b|\bno tests? (?:ran|were found|to run|found)\b|\bcollected 0+ items\b"
-
-TEST_PASSED = (
-    r"(?U)test result:\s*ok\.",
-    r"(?dmU)^ok\s+\S+",
-    r"(?dmU)^PASS\b",
-    rf"(?iuU)\b{_N}\s+passed\b",
-    r"(?U)\b100%\s+tests passed\b",
-    r"(?U)\bBUILD SUCCESS(?:FUL)?\b",
-    rf"(?U)Tests run:\s*{_N},\s*Failures:\s*0,\s*Errors:\s*0",
-    rf"(?U)\bOK\s*\({_N} tests?\)",
-    r"(?dmU)^\s*\[\s*PASSED\s*\]",
-    rf"(?U)\b{_N}\s+passing\b",
-    rf"(?U)\b{_N}\s+examples?,\s*0\s+failures\b",
-    rf"(?U)\bPass:\s*{_N},\s*fail:\s*0\b",
-    r"(?iuU)\ball (?:tests|checks) (?:passed|PASS)\b",
-    rf"(?U)Ran {_N} tests? in [\d.]+s\s*\n+\s*OK\b",
-    r"(?dmU)^OK\s*(?:\(skipped=\d+\))?\s*$",
-    r"(?iuU)\berror count:\s*0\b",
-)
+TEST_PASSED = {
+    r"(?U)test result:\s*ok\.": "test result:",
+    r"(?dmU)^ok\s+\S+": "ok",
+    r"(?dmU)^PASS\b": "PASS",
+    rf"(?iuU){_COUNT}\s+passed\b": "passed",
+    r"(?U)\b100%\s+tests passed\b": "tests passed",
+    r"(?U)\bBUILD SUCCESS(?:FUL)?\b": "BUILD SUCCESS",
+    rf"(?U)Tests run:\s*{_N},\s*Failures:\s*0,\s*Errors:\s*0": "Tests run:",
+    rf"(?U)\bOK\s*\({_N} tests?\)": "OK",
+    r"(?dmU)^\s*\[\s*PASSED\s*\]": "PASSED",
+    rf"(?U){_COUNT}\s+passing\b": "passing",
+    rf"(?U){_COUNT}\s+examples?,\s*0\s+failures\b": "example",
+    rf"(?U)\bPass:\s*{_N},\s*fail:\s*0\b": "Pass:",
+    r"(?iuU)\ball (?:tests|checks) (?:passed|PASS)\b": "s pass",
+    rf"(?U)Ran {_N} tests? in [\d.]+s\s*\n+\s*OK\b": "Ran ",
+    r"(?dmU)^OK\s*(?:\(skipped=\d+\))?\s*$": "OK",
+    r"(?iuU)\berror count:\s*0\b": "error count",
+}
 
 RUNTIME_TRAILER = r"(?dmU)^\[(?:The command completed with exit code -?\d+\.|Command finished with exit code -?\d+|Current working directory:[^\]]*|Python interpreter:[^\]]*|Below is the output of the previous command\.?)\]\s*$"
 ECHOED_ZERO = r"(?iuU)\bexit(?:\s*code)?\s*[:=]\s*0+\b"
+ECHOED = "exit"
 
 # ---- fixed values: commands ----
 

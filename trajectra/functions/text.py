@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -12,8 +13,27 @@ from trajectra.functions import patterns as P
 WINDOW, ALIGN = 3000, 300
 
 
-def any_match(text: Column, patterns: tuple[str, ...]) -> Column:
-    return reduce(lambda a, b: a | b, (text.rlike(p) for p in patterns))
+def any_of(conditions: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conditions)
+
+
+def folded(text: Column) -> Column:
+    """The text in small letters; whatever (?iu) takes for one of a-z is that letter here."""
+    small = F.replace(F.replace(F.lower(F.replace(text, F.lit("\u0130"), F.lit("i"))), F.lit("\u0131"), F.lit("i")), F.lit("\u017f"), F.lit("s"))
+    return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(small)
+
+
+def holds(text: Column, word: str) -> Column:
+    """text.contains(word); java.util.regex skips through a text by a literal's length, if that is 4 or more, and contains() goes byte by byte."""
+    return text.contains(word) if len(word) < 4 else text.rlike(rf"\Q{word}\E")
+
+
+def any_match(text: Column, small: Column, patterns: dict[str, str | tuple[str, ...]]) -> Column:
+    """Whether one of the patterns matches; only those are tried of whose words one is in the text, or in small, which is folded(text)."""
+    by_words: dict[tuple, list[str]] = {}
+    for pattern, words in patterns.items():
+        by_words.setdefault((pattern.startswith("(?i"), *((words,) if isinstance(words, str) else words)), []).append(pattern)
+    return any_of(any_of(holds(small if any_case else text, w) for w in words) & any_of(text.rlike(p) for p in found) for (any_case, *words), found in by_words.items())
 
 
 def once(value: Column, use) -> Column:
@@ -28,7 +48,7 @@ def strip(text: Column) -> Column:
 
 def strip_ansi(text: Column) -> Column:
     """Without terminal escapes and carriage returns."""
-    return F.regexp_replace(text, P.ANSI, "")
+    return F.when(any_of(text.contains(c) for c in P.ESCAPES), F.regexp_replace(text, P.ANSI, "")).otherwise(text)
 
 
 def scan_window(text: Column) -> Column:
@@ -46,9 +66,14 @@ def scan_window(text: Column) -> Column:
     return once(strip_ansi(F.coalesce(text, F.lit(""))), window)
 
 
+def _signs(window: Column, small: Column) -> Column:
+    kinds = {"marked": P.TOOL_MARKERS, "hard": P.HARD_ERRORS, "soft": P.SOFT_ERRORS}
+    return F.struct(*(any_match(window, small, patterns).alias(kind) for kind, patterns in kinds.items()))
+
+
 def error_signs(window: Column) -> Column:
     """struct<marked, hard, soft>: the signs of an error in a text that scan_window() has made, best a column of its own."""
-    return F.struct(any_match(window, P.TOOL_MARKERS).alias("marked"), any_match(window, P.HARD_ERRORS).alias("hard"), any_match(window, P.SOFT_ERRORS).alias("soft"))
+    return once(folded(window), lambda small: _signs(window, small))
 
 
 def error_by(signs: Column, is_test: Column | bool = False, is_execution: Column | bool = True) -> Column:
@@ -63,16 +88,14 @@ def is_error(content: Column, is_test: Column | bool = False, is_execution: Colu
     return once(once(scan_window(content), error_signs), lambda signs: error_by(signs, is_test, is_execution))
 
 
-def outcome_in(window: Column, signs: Column | None = None) -> Column:
-    """test_outcome() for a text that scan_window() has made, and its signs where they are known."""
-    signs = error_signs(window) if signs is None else signs
+def _outcome(window: Column, small: Column, signs: Column) -> Column:
     rules = (
         (signs["marked"], "fail"),
         (signs["hard"], "fail"),
-        (any_match(window, P.TEST_FAILED), "fail"),
-        (window.rlike(P.NO_TESTS_RAN), "unknown"),
-        (any_match(window, P.TEST_PASSED), "pass"),
-        (F.regexp_replace(window, P.RUNTIME_TRAILER, "").rlike(P.ECHOED_ZERO), "pass"),
+        (any_match(window, small, P.TEST_FAILED), "fail"),
+        (any_match(window, small, P.NO_TESTS_RAN), "unknown"),
+        (any_match(window, small, P.TEST_PASSED), "pass"),
+        (holds(small, P.ECHOED) & F.regexp_replace(window, P.RUNTIME_TRAILER, "").rlike(P.ECHOED_ZERO), "pass"),
         (signs["soft"], "fail"),
     )
     out = F.when(window == "", "unknown")
@@ -81,9 +104,14 @@ def outcome_in(window: Column, signs: Column | None = None) -> Column:
     return out.otherwise("unknown")
 
 
+def outcome_in(window: Column, signs: Column) -> Column:
+    """test_outcome() for a text that scan_window() has made, and its signs."""
+    return once(folded(window), lambda small: _outcome(window, small, signs))
+
+
 def test_outcome(content: Column) -> Column:
     """fail, pass or unknown for the output of a test run; the first of the rules that applies decides."""
-    return once(scan_window(content), lambda window: once(error_signs(window), lambda signs: outcome_in(window, signs)))
+    return once(scan_window(content), lambda window: once(folded(window), lambda small: once(_signs(window, small), lambda signs: _outcome(window, small, signs))))
 
 
 def think_parts(content: Column) -> tuple[Column, Column]:
