@@ -227,6 +227,22 @@ def test_components(spark):
     assert all(got[i] == 0 for i in range(1, 31)) and got[50] == got[60] == 40
 
 
+@pytest.mark.parametrize(("few", "rounds"), [(1 << 15, False), (0, True)])
+def test_components_of_few_edges_take_no_rounds(spark, monkeypatch, few, rounds):
+    cuts = []
+    monkeypatch.setattr(minhash, "FEW_EDGES", few)
+    monkeypatch.setattr(minhash, "cut", lambda df, real=minhash.cut: cuts.append(1) or real(df))
+    pairs = [(i, 90 - i) for i in range(40)] + [(i, i + 7) for i in range(0, 30, 3)] + [(100, 95), (95, 99), (3, 3)]
+    edges = spark.createDataFrame(pairs, "u long, v long")
+    got = {r.node: r.root for r in minhash.components(edges).collect()}
+    above = {n: n for pair in pairs for n in pair}
+    for _ in list(above):
+        for u, v in pairs:
+            above[u] = above[v] = min(above[u], above[v])
+    assert got == {n: r for n, r in above.items() if n != r}
+    assert (len(cuts) > 1) == rounds
+
+
 # ---- 2
 
 

@@ -50,6 +50,8 @@ PARITIES, SMALL = 512, 64
 #: How often large buckets are divided by differences, those of over SMALL members at first, then of over 4 times as many each time;
 #: what is large even then has its pairs tested in the join.  (A division makes a row of each key: in small buckets, pairs are fewer.)
 DIVISIONS = 3
+#: Edges (half a MB) of which the driver finds the components by itself, where rounds of exchanges would cost more than the work; larger graphs go by rounds.
+FEW_EDGES = 1 << 15
 _U = np.uint64
 #: ORDER[j] are all bins in the order in which the empty bin j asks them; RANK is its inverse.
 _rng = np.random.default_rng(7)
@@ -209,9 +211,31 @@ def _keys(percent: int):
     return keys
 
 
+def least_reachable(edges: pa.Table) -> dict[int, int]:
+    """For each node of the edges (u, v) the smallest node reachable, unless that is itself."""
+    above: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while top in above:
+            top = above[top]
+        while x != top:
+            above[x], x = top, above[x]
+        return top
+
+    for u, v in zip(edges["u"].to_pylist(), edges["v"].to_pylist()):
+        a, b = root(u), root(v)
+        if a != b:
+            above[max(a, b)] = min(a, b)
+    return {x: root(x) for x in list(above)}
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """node, root (the smallest node reachable) for each node of edges (u, v), by large-star and small-star rounds."""
+    """node, root (the smallest node reachable) for each node of edges (u, v) that isn't its own root, by large-star and small-star rounds."""
     e = cut(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    if e.count() <= FEW_EDGES:
+        found = least_reachable(e.toArrow())
+        return e.sparkSession.createDataFrame(pa.table({"node": pa.array(found, pa.int64()), "root": pa.array(found.values(), pa.int64())}))
     before = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -320,12 +344,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
         pairs = cut(pairs.select("within", "hub", "doc", "near"))
         return cut(with_sets(pairs).select("doc", "within", "near", "hub_set", "set").mapInArrow(_keys(percent), _KEYED).groupBy("key", "doc").agg(F.min("probe").alias("probe")))
 
-    links, late, waiting = None, [], []
+    late, waiting = [], []
     stars = starred(buckets)
     linked = confirmed(likely_stars(stars), True)
-    if not linked.isEmpty():  # nearly all links are found here; the roots only spare comparisons, so later links are united at the end
-        links = linked.select(F.col("hub").alias("u"), F.col("doc").alias("v"))
-        found = components(links)
+    if not linked.isEmpty():  # nearly all links are found here; the roots only spare comparisons, so later links join these components at the end
+        found = components(linked.select(F.col("hub").alias("u"), F.col("doc").alias("v")))
         roots = cut(roots.select("node").join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
     as_members = lambda stars: stars.select("key", "doc", F.lit(False).alias("probe"))
     small, large = mixed(as_members(stars), SMALL)
@@ -345,9 +368,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, doc_id:
     late.append(confirmed(cut(reduce(DataFrame.unionByName, waiting).distinct())))
     late = [found for found in late if not found.isEmpty()]
     if late:
-        star = reduce(DataFrame.unionByName, late).select(F.col("hub").alias("u"), F.col("doc").alias("v"))
-        found = components(star if links is None else links.unionByName(star))
-        roots = cut(roots.select("node").join(found, "node", "left").select("node", F.coalesce("root", "node").alias("root")))
+        ends = reduce(DataFrame.unionByName, late).select("hub", "doc").join(root_of("hub"), "hub").join(root_of("doc"), "doc")
+        found = components(ends.select(F.col("hub_root").alias("u"), F.col("doc_root").alias("v"))).select(F.col("node").alias("root"), F.col("root").alias("least"))
+        roots = roots.join(found, "root", "left").select("node", F.coalesce("least", "root").alias("root"))
     named = reps.select(*name, "rep").join(roots.withColumnRenamed("node", "rep"), "rep", "left").select(*name, F.coalesce("root", "rep").alias("component"))
     joined = signed.select("doc_id", *name).join(named, name, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
